@@ -65,3 +65,36 @@ def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("value") * F.lit(10.0)).cast("long").alias("tokens"),
         "event_id",
     )
+
+
+def _item(category, question, answer=None):
+    fields = [category.alias("category"), question.alias("question")]
+    if answer is not None:
+        fields.append(answer.alias("answer"))
+    return F.to_json(F.struct(*fields))
+
+
+def replies(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) -> DataFrame:
+    """Model replies, one per Q&A row, shaped by ``id % 10`` (FIXTURES.md):
+    ``id bigint, requested_category string, raw string``."""
+    base = qa_df if qa_df is not None else qa(spark, sf_dir)
+    cat, q, a = F.col("category"), F.col("question"), F.col("answer")
+    item = _item(cat, q, a)
+    k = F.col("id") % 10
+    raw = (
+        F.when(k == 0, F.concat(F.lit("["), item, F.lit("]")))
+        .when(k == 1, F.concat(F.lit('{"n":1,"items":['), item, F.lit("]}")))
+        .when(k == 2, item)
+        .when(k == 3, F.concat(F.lit("```json\n["), item, F.lit("]\n```")))
+        .when(k == 4, F.concat(F.lit("Sure, here: ["), item, F.lit("] hope it helps")))
+        .when(k == 5, F.lit("not json"))
+        .when(k == 6, F.concat(F.lit("["), item, F.lit(", "), item, F.lit("]")))
+        .when(k == 7, F.concat(F.lit("["), _item(cat, q), F.lit("]")))
+        .when(k == 8, F.concat(F.lit("["), _item(cat, F.concat(F.lit("\n\t"), q, F.lit(" ")), a), F.lit("]")))
+        .otherwise(F.concat(F.lit("["), _item(F.lit("Unknown"), q, a), F.lit("]")))
+    )
+    return base.select("id", F.col("category").alias("requested_category"), raw.alias("raw"))
+
+
+# The nine categories of the conversation-derived Q&A rows.
+QA_CATEGORIES = tuple(f"cat{i}" for i in range(N_QA_CATEGORIES))
