@@ -98,3 +98,26 @@ def replies(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) ->
 
 # The nine categories of the conversation-derived Q&A rows.
 QA_CATEGORIES = tuple(f"cat{i}" for i in range(N_QA_CATEGORIES))
+
+
+# Word separator for the answer cuts (explicit so Spark and DuckDB agree).
+_WORD_SEP = "[ \t\n\r]+"
+
+
+def answers(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) -> DataFrame:
+    """Answer rows of two runs: ``idx`` (from 0), question, expected answer,
+    a baseline answer (first third of the expected one, by words), a second-
+    run answer (first two thirds) and an empty context."""
+    from qaspark.functions.text import strip_ws
+
+    base = qa_df if qa_df is not None else qa(spark, sf_dir)
+    words = F.split(strip_ws("answer"), _WORD_SEP)
+    n = F.size(words)
+    return base.select(
+        (F.col("id") - 1).alias("idx"),
+        "question",
+        F.col("answer").alias("expected_answer"),
+        F.array_join(F.slice(words, 1, F.floor(n / 3).cast("int")), " ").alias("generated_answer"),
+        F.array_join(F.slice(words, 1, F.floor(n * 2 / 3).cast("int")), " ").alias("finetuned_answer"),
+        F.lit("").alias("context"),
+    )

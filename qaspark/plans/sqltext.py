@@ -60,3 +60,10 @@ def split_cte(src: str = "qa_docs", quotas=((("golden_eval", 6), ("validation",
   from (select *, row_number() over (partition by category order by {seeded_key('id', seed)}, id) as rank
         from {src}) r
   where rank <= {total})"""
+
+ANSWERS = f"""answers as (
+  select id - 1 as idx, question, answer as expected_answer,
+         array_to_string(list_slice(w, 1, len(w) // 3), ' ') as generated_answer,
+         array_to_string(list_slice(w, 1, (len(w) * 2) // 3), ' ') as finetuned_answer,
+         '' as context
+  from (select *, string_split_regex({strip('answer')}, '[ \\t\\n\\r]+') as w from qa) s)"""
