@@ -104,7 +104,7 @@ QA_CATEGORIES = tuple(f"cat{i}" for i in range(N_QA_CATEGORIES))
 _WORD_SEP = "[ \t\n\r]+"
 
 
-def answers(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) -> DataFrame:
+def answers(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None, offset: int = 1) -> DataFrame:
     """Answer rows of two runs: ``idx`` (from 0), question, expected answer,
     a baseline answer (first third of the expected one, by words), a second-
     run answer (first two thirds) and an empty context."""
@@ -114,7 +114,8 @@ def answers(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) ->
     words = F.split(strip_ws("answer"), _WORD_SEP)
     n = F.size(words)
     return base.select(
-        (F.col("id") - 1).alias("idx"),
+        (F.col("id") - offset).alias("idx"),
+        "category",
         "question",
         F.col("answer").alias("expected_answer"),
         F.array_join(F.slice(words, 1, F.floor(n / 3).cast("int")), " ").alias("generated_answer"),

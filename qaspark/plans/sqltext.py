@@ -61,9 +61,13 @@ def split_cte(src: str = "qa_docs", quotas=((("golden_eval", 6), ("validation",
         from {src}) r
   where rank <= {total})"""
 
-ANSWERS = f"""answers as (
-  select id - 1 as idx, question, answer as expected_answer,
+def answers_cte(src: str = "qa", offset: int = 1, name: str = "answers") -> str:
+    return f"""{name} as (
+  select id - {offset} as idx, category, question, answer as expected_answer,
          array_to_string(list_slice(w, 1, len(w) // 3), ' ') as generated_answer,
          array_to_string(list_slice(w, 1, (len(w) * 2) // 3), ' ') as finetuned_answer,
          '' as context
-  from (select *, string_split_regex({strip('answer')}, '[ \\t\\n\\r]+') as w from qa) s)"""
+  from (select *, string_split_regex({strip('answer')}, '[ \\t\\n\\r]+') as w from {src}) s)"""
+
+
+ANSWERS = answers_cte()
