@@ -70,17 +70,32 @@ def reindex(df: DataFrame, order_cols, id_col: str = "id", start: int = 1, num_r
     return out.drop(_B, _P)
 
 
-def running_sum(df: DataFrame, order_cols, value_col: str, out_col: str, num_ranges: int | None = None) -> DataFrame:
-    """Global inclusive running sum of ``value_col`` in ``order_cols`` order
-    (prefix sum in two passes): per-range running sums from a window keyed
-    by the range number, plus the sum of all earlier ranges."""
+def running_sums(df: DataFrame, order_cols, sums: dict, num_ranges: int | None = None) -> DataFrame:
+    """Global inclusive running sums in ``order_cols`` order (prefix sums in
+    two passes). ``sums`` maps output column -> input column. Per-range
+    running sums come from a window keyed by the range number (ranges are
+    balanced by the range partitioner), plus the totals of earlier ranges."""
     tagged = tag_ranges(df, order_cols, num_ranges)
-    offset = _offsets(tagged, F.col(value_col))
+    totals = tagged.groupBy(_B).agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(o) for o, v in sums.items()])
+    rows = totals.collect()  # one row per range
+    n_ranges = (max(r[_B] for r in rows) + 1) if rows else 1
     w = Window.partitionBy(_B).orderBy(_P).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged.withColumn(out_col, (offset + F.sum(value_col).over(w)).cast("long"))
+    out = tagged
+    for o, v in sums.items():
+        per = {r[_B]: r[o] for r in rows}
+        acc, offs = 0, []
+        for b in range(n_ranges):
+            offs.append(acc)
+            acc += per.get(b, 0)
+        offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in offs]), F.col(_B).cast("int") + 1)
+        out = out.withColumn(o, (offset + F.sum(v).over(w)).cast("long"))
     return out.drop(_B, _P)
 
 
+def running_sum(df: DataFrame, order_cols, value_col: str, out_col: str, num_ranges: int | None = None) -> DataFrame:
+    return running_sums(df, order_cols, {out_col: value_col}, num_ranges)
+
+
 def with_next(df: DataFrame, partition_cols, order_cols, value_cols, suffix: str = "_next") -> DataFrame:
     """``lead(v) over (partition by p order by o)`` for every ``v`` in
     ``value_cols``, computed as an equi-join of global position ``i`` with
