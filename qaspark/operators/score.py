@@ -67,26 +67,22 @@ CONTEXT_RECALL = MetricSpec(name="ContextRecall", class_name="ContextRecallScore
                             evaluation_params=("actual_output", "retrieval_context"), needs_context=True)
 LEXICAL_METRICS = (TOKEN_RECALL, EXACT_MATCH, CONTEXT_RECALL)
 
-_COLUMN_SCORERS: dict[str, Callable[[], Column]] = {
-    "TokenRecall": lambda: token_recall(F.col("actual_output"), F.col("expected_output")),
-    "ExactMatch": lambda: exact_match(F.col("actual_output"), F.col("expected_output")),
-    "ContextRecall": lambda: token_recall(F.col("actual_output"), F.col("context_text")),
+_COLUMN_SCORERS: dict[str, Callable[[Column, Column, Column], Column]] = {
+    "TokenRecall": lambda act, exp, ctx: token_recall(act, exp),
+    "ExactMatch": lambda act, exp, ctx: exact_match(act, exp),
+    "ContextRecall": lambda act, exp, ctx: token_recall(act, ctx),
 }
 
 
-def judge_prompt_length(spec: MetricSpec) -> Column:
-    """Characters of the judge prompt of one metric: criteria plus the
-    fields the metric reads."""
-    parts = [F.lit(spec.criteria)] + [F.coalesce(F.col(_FIELD[p]), F.lit("")) for p in spec.evaluation_params]
-    return F.length(F.concat_ws("\n", *parts))
-
-
-def _by_metric(specs, fn) -> Column:
-    expr = None
-    for s in specs:
-        cond = F.col("metric") == s.metric_name
-        expr = F.when(cond, fn(s)) if expr is None else expr.when(cond, fn(s))
-    return expr
+def judge_prompt_length(spec: MetricSpec, lengths: dict) -> Column:
+    """Characters of the judge prompt of one metric: criteria and the fields
+    the metric reads, joined by newlines; from field lengths, so the prompt
+    text itself is never built."""
+    parts = [F.lit(len(spec.criteria))] + [lengths[_FIELD[p]] for p in spec.evaluation_params]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total + F.lit(len(parts) - 1)
 
 
 def _with_context_text(cases: DataFrame) -> DataFrame:
@@ -95,24 +91,45 @@ def _with_context_text(cases: DataFrame) -> DataFrame:
     return cases.withColumn("context_text", F.coalesce(F.element_at("retrieval_context", 1), F.lit("")))
 
 
-def score_cases(worklist: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGET,
+def _recall(exp: Column, act: Column) -> Column:
+    return F.try_divide(F.size(F.array_intersect(exp, act)).cast("double"), F.size(exp).cast("double"))
+
+
+def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGET,
                 max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Column-scorer path (X1): ``idx, metric, score, error, estimate``."""
-    wl = _with_context_text(worklist)
+    """Column-scorer path (X1): one row per case and metric,
+    ``idx, metric, score, error, estimate``. Each text is tokenised once per
+    case; the per-metric rows come from exploding an array of
+    ``(metric, raw score, estimate)`` structs (the work list, J5)."""
+    c = _with_context_text(cases)
     specs = [s for s in specs if s.metric_name in _COLUMN_SCORERS]
-    estimate = _by_metric(specs, lambda s: F.floor(judge_prompt_length(s) / F.lit(4)) + F.lit(max_tokens))
-    raw = _by_metric(specs, lambda s: _COLUMN_SCORERS[s.metric_name]())
+    fields = ("input", "actual_output", "expected_output", "context_text")
+    feats = c.select(
+        "idx",
+        *[F.length(F.coalesce(F.col(f), F.lit(""))).alias(f"_len_{f}") for f in fields],
+        tokens(F.col("actual_output")).alias("_ta"),
+        tokens(F.col("expected_output")).alias("_te"),
+        tokens(F.col("context_text")).alias("_tc"),
+        (F.lower(strip_ws("actual_output")) == F.lower(strip_ws("expected_output"))).alias("_eq"),
+    )
+    lengths = {f: F.col(f"_len_{f}") for f in fields}
+    raw = {
+        "TokenRecall": lambda: _recall(F.col("_te"), F.col("_ta")),
+        "ExactMatch": lambda: F.when(F.col("_eq"), F.lit(1.0)).otherwise(F.lit(0.0)),
+        "ContextRecall": lambda: _recall(F.col("_tc"), F.col("_ta")),
+    }
+    entries = F.array(*[
+        F.struct(F.lit(s.metric_name).alias("metric"), raw[s.metric_name]().alias("raw"),
+                 (F.floor(judge_prompt_length(s, lengths) / F.lit(4)) + F.lit(max_tokens)).cast("long").alias("estimate"))
+        for s in specs
+    ])
+    work = feats.select("idx", F.explode(entries).alias("w")).select("idx", "w.metric", "w.raw", "w.estimate")
     error = (
         F.when(F.col("estimate") > budget, F.lit("never_admissible"))
         .when(F.col("raw").isNull(), F.lit("no_score"))
     )
-    out = wl.withColumn("estimate", estimate.cast("long")).withColumn("raw", raw)
-    return out.select(
-        "idx", "metric",
-        F.when(error.isNull(), F.col("raw")).alias("score"),
-        error.alias("error"),
-        "estimate",
-    )
+    return work.select("idx", "metric", F.when(error.isNull(), F.col("raw")).alias("score"), error.alias("error"),
+                       "estimate")
 
 
 # --- batch scorers and answerers (mapInPandas) -------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaspark.operators.order import reindex, with_next
-from qaspark.sources.tables import load
+from qaspark.sources.tables import load, spread
 
 # The cut-over between the two evaluation runs in score_log,
 # and the 9 categories of conversation-derived Q&A rows.
@@ -35,7 +35,7 @@ def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qa_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q&A rows from documents: 20 equal categories, real duplicates."""
-    return load(spark, sf_dir, "documents").select(
+    return spread(load(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("category"),
         F.substring("text", 1, 120).alias("question"),

@@ -39,7 +39,7 @@ def _cases(spark, sf_dir):
 
 def _scores(spark, sf_dir):
     cases, metrics = _cases(spark, sf_dir)
-    return SC.score_cases(K.scoring_worklist(cases, metrics), metrics)
+    return SC.score_cases(cases, metrics)
 
 
 EVAL = with_(QA_DOCS, answers_cte("qa_docs", 0, "ans0"), f"""eval as (
@@ -202,7 +202,7 @@ def case_score_map(spark, sf_dir):
 )
 def run_counts(spark, sf_dir):
     cases, metrics = _cases(spark, sf_dir)
-    scores = SC.score_cases(K.scoring_worklist(cases, metrics), metrics)
+    scores = SC.score_cases(cases, metrics)
     return SM.run_counts(cases, len(metrics), scores)
 
 
