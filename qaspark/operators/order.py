@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from qaspark.session import ensure_checkpoint_dir
 
-_B, _P = "_qs_range", "_qs_pos"
+_B, _P = "_qs_range", "_qs_inpos"
 
 
 def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:

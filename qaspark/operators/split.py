@@ -26,12 +26,36 @@ def _rank_in_group(df: DataFrame, by: str, id_col: str, seed: int) -> Column:
     return F.row_number().over(w)
 
 
+def _group_limit_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def _rank_by_prefix(df: DataFrame, by: str, id_col: str, seed: int) -> DataFrame:
+    """Rank inside each group without a per-group window: a global position
+    in (group, seeded key, id) order from range-partitioned prefix counts,
+    minus the position where the group starts (a partial ``min``
+    aggregate per group). A group holding a third of the rows is spread
+    over many ranges."""
+    from qaspark.operators.order import running_sums
+
+    keyed = df.withColumn("_qs_key", seeded_key(id_col, seed)).withColumn("_qs_one", F.lit(1))
+    pos = running_sums(keyed, [by, "_qs_key", id_col], {"_qs_pos": "_qs_one"})
+    start = pos.groupBy(by).agg(F.min("_qs_pos").alias("_qs_start"))
+    ranked = pos.join(start, by).withColumn("rank", F.col("_qs_pos") - F.col("_qs_start") + 1)
+    return ranked.drop("_qs_key", "_qs_one", "_qs_pos", "_qs_start")
+
+
 def balanced_sample(df: DataFrame, by: str = "category", id_col: str = "id", per_group: int = 38,
                     seed: int = DEFAULT_SEED) -> DataFrame:
-    """First ``per_group`` rows of each group in seeded order (W1). The
-    ``rank <= n`` filter lets Catalyst insert a WindowGroupLimit before the
-    shuffle, so a hot group ships at most ``n`` rows per map task."""
-    ranked = df.withColumn("rank", _rank_in_group(df, by, id_col, seed))
+    """First ``per_group`` rows of each group in seeded order (W1). Up to the
+    optimizer's group-limit threshold the ``rank <= n`` filter lets Catalyst
+    insert a WindowGroupLimit before the shuffle, so a hot group ships at
+    most ``n`` rows per map task; above it the rank comes from prefix
+    counts (no single-task window)."""
+    if per_group > _group_limit_threshold(df):
+        ranked = _rank_by_prefix(df, by, id_col, seed)
+    else:
+        ranked = df.withColumn("rank", _rank_in_group(df, by, id_col, seed))
     return ranked.where(F.col("rank") <= per_group).withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -82,8 +106,15 @@ def seeded_shuffle(df: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED)
 def eval_sample(df: DataFrame, n: int, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """``n`` rows without replacement, all rows if there are fewer (L2).
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each task keeps
-    its own top ``n``, only those reach the final merge."""
-    return df.orderBy(seeded_key(id_col, seed), F.col(id_col)).limit(n)
+    its own top ``n``, only those reach the final merge; a large ``n``
+    filters on a range-built rank instead."""
+    from qaspark.operators.corpus import TOP_K_LIMIT
+    from qaspark.operators.order import reindex
+
+    if n <= TOP_K_LIMIT:
+        return df.orderBy(seeded_key(id_col, seed), F.col(id_col)).limit(n)
+    keyed = df.withColumn("_qs_key", seeded_key(id_col, seed))
+    return reindex(keyed, ["_qs_key", id_col], "_qs_rank").where(F.col("_qs_rank") <= n).drop("_qs_key", "_qs_rank")
 
 
 def split_leakage(split_df: DataFrame, held_out: str = "golden_eval", train: str = "train",

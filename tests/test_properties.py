@@ -128,3 +128,17 @@ def test_batch_scorer_equals_column_scorer(spark):
     col = {r["idx"]: r["score"] for r in SC.score_cases(wl.drop("metric"), [SC.TOKEN_RECALL]).collect()}
     bat = {r["idx"]: r["score"] for r in SC.score_with(wl, SC.TokenRecallBatchScorer).collect()}
     assert col == bat
+
+
+def test_large_quota_rank_equals_window_rank(spark):
+    """Above the group-limit threshold the prefix-count rank must equal the
+    window rank; a hot group holds a third of the rows."""
+    rows = [(i, "hot" if i % 3 == 0 else f"g{i % 5}") for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, category string")
+    small = sorted(S.balanced_sample(df, per_group=150).select("id", "rank").collect())
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "100")
+    try:
+        large = sorted(S.balanced_sample(df, per_group=150).select("id", "rank").collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert small == large
