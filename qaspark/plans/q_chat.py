@@ -175,7 +175,7 @@ def eval_sample(spark, sf_dir):
 
 @register(
     "split_audit",
-    with_(QA, split_cte("qa")) + """select g.category, q.split, q.quota, coalesce(c.n, 0) as n,
+    with_(QA, split_cte("qa")) + """select g.category, q.split, cast(q.quota as bigint) as quota, coalesce(c.n, 0) as n,
        q.quota - coalesce(c.n, 0) as shortfall
 from (select distinct category from qa) g
 cross join (values ('golden_eval', 6), ('validation', 5), ('train', 27)) q(split, quota)
