@@ -162,4 +162,5 @@ def read_checkpoint(spark, sf_dir):
 @register("require_columns", with_(QA) + "select id, category from qa")
 def require_columns(spark, sf_dir):
     qa = IO.require_columns(D.qa(spark, sf_dir), "id", "category", "question", "answer")
+    qa = IO.require_rows(qa, F.col("question").isNotNull() & F.col("answer").isNotNull(), "question or answer is null")
     return qa.select("id", "category")

@@ -6,6 +6,7 @@ that must return the same rows; ``None`` marks a rows-only check."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
@@ -16,7 +17,15 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            # the supplied event times are TIMESTAMP_NTZ; casts to TIMESTAMP
+            # (watermarks, epoch arithmetic) read them as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn

@@ -145,3 +145,10 @@ def require_columns(df: DataFrame, *required: str) -> DataFrame:
         raise ValueError(f"missing required columns {missing}; found {df.columns}")
     return df
 
+
+
+def require_rows(df: DataFrame, rule: Column, message: str) -> DataFrame:
+    """Row rule (S9): the job fails with ``message`` on the first row that
+    breaks ``rule``; rows pass through unchanged. The check is the filter
+    predicate itself, so the optimizer cannot prune it away."""
+    return df.where(F.when(F.coalesce(rule, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit(message))))

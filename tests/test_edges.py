@@ -179,3 +179,12 @@ def test_detect_columns_first_row_only(spark):
     df = spark.createDataFrame([(1, "", "q1", "a1", "c"), (2, "i2", "q2", "a2", "")],
                                "idx long, input string, question string, output string, context string")
     assert K.detect_columns(df, order="idx") == ("question", "output", "context")
+
+
+def test_require_rows_raises(spark):
+    df = spark.createDataFrame([(1, "q"), (2, None)], "id long, question string")
+    assert IO.require_rows(df, F.col("id") > 0, "bad id").count() == 2
+    with pytest.raises(Exception, match="null question"):
+        IO.require_rows(df, F.col("question").isNotNull(), "null question").select("id").collect()
+    with pytest.raises(ValueError):
+        IO.require_columns(df, "id", "answer")
