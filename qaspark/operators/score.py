@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from qaspark.functions.text import strip_ws, token_estimate
 from qaspark.operators.cases import MetricSpec
+from qaspark.session import ship_package
 
 # Judge limits (calls and tokens per minute, safety share)
 # and the completion allowance added to each estimate.
@@ -178,6 +179,7 @@ def score_with(worklist: DataFrame, scorer_factory: Callable[[], object]) -> Dat
             yield pd.DataFrame({"idx": pdf["idx"].values, "metric": pdf["metric"].values,
                                 "score": pd.array(score, dtype="Float64"), "error": list(error)})
 
+    ship_package(worklist.sparkSession)
     cols = ["idx", "metric", "input", "actual_output", "expected_output"]
     return worklist.select(*cols).mapInPandas(run, "idx long, metric string, score double, error string")
 
@@ -201,6 +203,7 @@ def answer_table(df: DataFrame, answerer_factory: Callable[[], object], question
             yield pd.DataFrame({"idx": pdf[idx].values, "question": pdf[question].values,
                                 "generated_answer": model.answer_batch(pdf[question]).values})
 
+    ship_package(df.sparkSession)
     return df.select(F.col(idx).alias(idx), F.col(question).alias(question)).mapInPandas(
         run, f"{idx} long, {question} string, generated_answer string"
     )

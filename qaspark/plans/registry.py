@@ -9,6 +9,8 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from qaspark.session import ship_package
+
 QUERIES: dict[str, Callable] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -23,6 +25,7 @@ def register(name: str, sql: str | None = None):
             # the supplied event times are TIMESTAMP_NTZ; casts to TIMESTAMP
             # (watermarks, epoch arithmetic) read them as UTC
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

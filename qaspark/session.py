@@ -57,3 +57,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     sinks, stream checkpoints and materialised intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``qaspark`` importable in Python workers (what ``--py-files``
+    does): zip the package once per application and ``addPyFile`` it. Needed
+    by the pandas paths (``mapInPandas``, ``applyInPandasWithState``), whose
+    functions live in this package."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    folder = local if "://" not in base and os.path.isdir(local) else tempfile.mkdtemp(prefix="qaspark-pkg-")
+    target = os.path.join(folder, f"qaspark-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -37,6 +37,9 @@ def _arrays_per_partition(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFr
 def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None:
     """Write rows as JSON array files, one array per output file (S1's
     writer). Each task joins only its own partition's rows."""
+    from qaspark.session import ship_package
+
+    ship_package(df.sparkSession)
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
     if files:
         rows = rows.repartition(files)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from qaspark.functions.text import normalize_question
-from qaspark.session import scratch_path
+from qaspark.session import scratch_path, ship_package
 
 
 def file_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None,
@@ -106,6 +106,7 @@ def _stall_fn(stall_after: int):
 def stall_stream(rounds: DataFrame, stall_after: int = 80) -> DataFrame:
     """Current and longest run of empty rounds per key, kept as state across
     batches (T5)."""
+    ship_package(rounds.sparkSession)
     return rounds.groupBy("user_id").applyInPandasWithState(
         _stall_fn(stall_after), STALL_OUTPUT, STALL_STATE, "update", GroupStateTimeout.NoTimeout)
 
