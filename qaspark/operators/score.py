@@ -186,10 +186,14 @@ def score_with(worklist: DataFrame, scorer_factory: Callable[[], object]) -> Dat
 
 class FirstSentenceAnswerer:
     """Test stand-in answerer (X4): answers with the first sentence of the
-    question. A real model is the caller's, behind the same method."""
+    question, i.e. the text up to the first ``.``, ``!`` or ``?`` that is
+    followed by a space, tab or line break, stripped. A real model is the
+    caller's, behind the same method."""
 
     def answer_batch(self, questions: pd.Series) -> pd.Series:
-        return questions.fillna("").str.split(r"(?<=[.!?])\s", n=1, regex=True).str[0].str.strip()
+        ws = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+        first = questions.fillna("").str.split(r"(?<=[.!?])[ \t\n\r]", n=1, regex=True).str[0]
+        return first.map(lambda s: s.strip(ws))
 
 
 def answer_table(df: DataFrame, answerer_factory: Callable[[], object], question: str = "question",

@@ -188,11 +188,11 @@ def failed_cases(spark, sf_dir):
     return SM.failed_cases(_scores(spark, sf_dir))
 
 
-@register(
-    "case_score_map",
-)
+@register("case_score_map", SCORES + "select idx, metric, score from scores where score is not null")
 def case_score_map(spark, sf_dir):
-    return SM.case_score_map(_scores(spark, sf_dir))
+    """Per-case score maps (A7), exploded back to entries for the comparison."""
+    maps = SM.case_score_map(_scores(spark, sf_dir))
+    return maps.select("idx", F.explode("scores").alias("metric", "score"))
 
 
 @register(
@@ -272,17 +272,42 @@ def pending_cases(spark, sf_dir):
     return K.pending_cases(cases, done)
 
 
-@register("write_summary")
+_SUMMARY_SCHEMA = ("run string, model string, dataset string, judge string, n_samples bigint, n_failed bigint, "
+                   "threshold double, metrics map<string, struct<avg_score: double, pass_rate: double, n: bigint>>")
+
+
+@register(
+    "write_summary",
+    with_(SCORE_LOG) + """, per as (
+  select run, metric, round(avg(score), 4) as avg_score,
+         round(avg(case when score >= 0.7 then cast(1.0 as double) else cast(0.0 as double) end), 4) as pass_rate,
+         count(score) as n
+  from score_log where score is not null group by run, metric),
+runs as (select run, count(*) as n_samples from score_log group by run)
+select r.run, 'base' as model, 'events' as dataset, 'lexical' as judge, r.n_samples, cast(0 as bigint) as n_failed,
+       cast(0.7 as double) as threshold, p.metric, p.avg_score, p.pass_rate, p.n
+from runs r join per p on p.run = r.run""",
+)
 def write_summary(spark, sf_dir):
+    """Nested run summaries written as JSON lines (S7), read back with their
+    schema and flattened per metric for the comparison."""
     log = D.score_log(spark, sf_dir).withColumn("error", F.lit(None).cast("string"))
     cases = log.select("run", "idx")
     summary = SM.run_summary(log, cases, {"model": "base", "dataset": "events", "judge": "lexical"})
     path = scratch_path(spark, "summary")
     IO.write_json_rows(summary, path)
-    return spark.read.json(path)
+    back = IO.read_rows(spark, path, _SUMMARY_SCHEMA)
+    flat = back.select("*", F.explode("metrics").alias("metric", "m")).drop("metrics")
+    return flat.select("run", "model", "dataset", "judge", "n_samples", "n_failed", "threshold", "metric",
+                       "m.avg_score", "m.pass_rate", "m.n")
 
 
-@register("answer_table")
+@register(
+    "answer_table",
+    with_(QA, ANSWERS) + f"""select idx, question, trim(case when regexp_matches(question, '[.!?][ \\t\\n\\r]')
+       then regexp_extract(question, '(?s)^(.*?[.!?])[ \\t\\n\\r]', 1) else question end, {WS_SQL})
+       as generated_answer from answers""",
+)
 def answer_table(spark, sf_dir):
     return SC.answer_table(D.answers(spark, sf_dir), SC.FirstSentenceAnswerer)
 
@@ -391,9 +416,25 @@ def report_lines(spark, sf_dir):
     return CMP.report_lines(CMP.compare_runs(post, base, verdict_metric="click"))
 
 
-@register("write_delta")
+_DELTA_SCHEMA = ("metric string, baseline struct<avg_score: double, pass_rate: double>, "
+                 "fine_tuned struct<avg_score: double, pass_rate: double>, "
+                 "delta struct<avg_score_change: double, relative_change_percent: double, pass_rate_change: double>")
+
+
+@register(
+    "write_delta",
+    _SUMS + """select metric, baseline_avg, baseline_pass, finetuned_avg, finetuned_pass,
+       round(delta, 4) as avg_score_change, round(relative_change, 2) as relative_change_percent,
+       round(pass_rate_change, 4) as pass_rate_change from joined""",
+)
 def write_delta(spark, sf_dir):
+    """Delta report written as JSON lines (S8), read back with its schema
+    and flattened."""
     base, post = _summaries(spark, sf_dir)
     path = scratch_path(spark, "delta")
     IO.write_json_rows(CMP.delta_report(CMP.metric_join(post, base)), path)
-    return spark.read.json(path)
+    back = IO.read_rows(spark, path, _DELTA_SCHEMA)
+    return back.select(
+        "metric", F.col("baseline.avg_score").alias("baseline_avg"), F.col("baseline.pass_rate").alias("baseline_pass"),
+        F.col("fine_tuned.avg_score").alias("finetuned_avg"), F.col("fine_tuned.pass_rate").alias("finetuned_pass"),
+        "delta.avg_score_change", "delta.relative_change_percent", "delta.pass_rate_change")
