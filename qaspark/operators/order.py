@@ -25,10 +25,13 @@ from qaspark.session import ensure_checkpoint_dir
 _B, _P = "_qs_range", "_qs_inpos"
 
 
-def _num_ranges(df: DataFrame, num_ranges: int | None) -> int:
+def _ranged(df: DataFrame, order, num_ranges: int | None) -> DataFrame:
+    """Range exchange on the order key. Without an explicit count, AQE may
+    merge adjacent small ranges to its advisory size (order is kept), so
+    the range count follows the data volume rather than a fixed number."""
     if num_ranges:
-        return int(num_ranges)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartitionByRange(int(num_ranges), *order)
+    return df.repartitionByRange(*order)
 
 
 def _cols(cols) -> list[Column]:
@@ -40,7 +43,7 @@ def tag_ranges(df: DataFrame, order_cols, num_ranges: int | None = None) -> Data
     number ``_qs_range`` and the position inside it ``_qs_pos``; checkpoint."""
     ensure_checkpoint_dir(df.sparkSession)
     order = _cols(order_cols)
-    ranged = df.repartitionByRange(_num_ranges(df, num_ranges), *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, num_ranges).sortWithinPartitions(*order)
     pid = F.spark_partition_id().cast("long")
     tagged = ranged.withColumn(_B, pid).withColumn(
         _P, F.monotonically_increasing_id() - F.shiftleft(pid, 33)
