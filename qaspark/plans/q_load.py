@@ -148,6 +148,7 @@ def _error_message():
     "error_class",
     """select event_id, case when event_type = 'error' and value > 200 then 'rate_limit'
             when event_type = 'signup' then 'rate_limit'
+            when event_type = 'click' and cast(user_id as varchar) like '%429%' then 'rate_limit'
             when event_type in ('error', 'click') then 'other' end as error_class from events""",
 )
 def error_class(spark, sf_dir):
