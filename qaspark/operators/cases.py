@@ -138,6 +138,11 @@ def scoring_worklist(cases: DataFrame, metrics) -> DataFrame:
     return cases.withColumn("metric", F.explode(names))
 
 
-def pending_cases(cases: DataFrame, done: DataFrame, idx: str = "idx") -> DataFrame:
-    """Cases not yet scored (J1): anti-join on the case key."""
+def pending_cases(cases: DataFrame, done: DataFrame, idx: str = "idx", retry_failed: bool = False,
+                  scores: str = "scores") -> DataFrame:
+    """Cases not yet scored (J1): anti-join on the case key. With
+    ``retry_failed`` a checkpoint entry without any stored score (every
+    metric failed) does not count as done, so the case is scored again."""
+    if retry_failed:
+        done = done.where(F.coalesce(F.size(F.col(scores)), F.lit(0)) > 0)
     return cases.join(done.select(F.col(idx)), idx, "left_anti")

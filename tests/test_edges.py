@@ -188,3 +188,10 @@ def test_require_rows_raises(spark):
         IO.require_rows(df, F.col("question").isNotNull(), "null question").select("id").collect()
     with pytest.raises(ValueError):
         IO.require_columns(df, "id", "answer")
+
+
+def test_pending_cases_retry_flag(spark):
+    cases = spark.range(5).withColumnRenamed("id", "idx")
+    done = spark.createDataFrame([(0, {"A": 0.5}), (1, {}), (2, None)], "idx long, scores map<string,double>")
+    assert sorted(r["idx"] for r in K.pending_cases(cases, done).collect()) == [3, 4]
+    assert sorted(r["idx"] for r in K.pending_cases(cases, done, retry_failed=True).collect()) == [1, 2, 3, 4]
