@@ -28,10 +28,21 @@ def read_json_array(spark: SparkSession, path: str, schema: str | StructType = Q
 
 
 def _arrays_per_partition(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-    parts = []
+    """One JSON array per task, written as lines: ``[``, the rows (every row
+    after the first prefixed with a comma), ``]``. Memory stays at one Arrow
+    batch; the whole file is one JSON document."""
+    yield pd.DataFrame({"value": ["["]})
+    first = True
     for pdf in batches:
-        parts.extend(pdf["j"].tolist())
-    yield pd.DataFrame({"value": ["[" + ",\n".join(parts) + "]"]})
+        rows = pdf["j"]
+        if rows.empty:
+            continue
+        lines = "," + rows
+        if first:
+            lines.iloc[0] = rows.iloc[0]
+            first = False
+        yield pd.DataFrame({"value": lines.values})
+    yield pd.DataFrame({"value": ["]"]})
 
 
 def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None:
