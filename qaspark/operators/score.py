@@ -48,10 +48,14 @@ def tokens(c: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: w != ""))
 
 
+def _recall(exp_tokens: Column, act_tokens: Column) -> Column:
+    return F.try_divide(F.size(F.array_intersect(exp_tokens, act_tokens)).cast("double"),
+                        F.size(exp_tokens).cast("double"))
+
+
 def token_recall(actual: Column, expected: Column) -> Column:
     """Share of the expected answer's distinct tokens found in the actual one."""
-    exp, act = tokens(expected), tokens(actual)
-    return F.try_divide(F.size(F.array_intersect(exp, act)).cast("double"), F.size(exp).cast("double"))
+    return _recall(tokens(expected), tokens(actual))
 
 
 def exact_match(actual: Column, expected: Column) -> Column:
@@ -68,10 +72,13 @@ CONTEXT_RECALL = MetricSpec(name="ContextRecall", class_name="ContextRecallScore
                             evaluation_params=("actual_output", "retrieval_context"), needs_context=True)
 LEXICAL_METRICS = (TOKEN_RECALL, EXACT_MATCH, CONTEXT_RECALL)
 
-_COLUMN_SCORERS: dict[str, Callable[[Column, Column, Column], Column]] = {
-    "TokenRecall": lambda act, exp, ctx: token_recall(act, exp),
-    "ExactMatch": lambda act, exp, ctx: exact_match(act, exp),
-    "ContextRecall": lambda act, exp, ctx: token_recall(act, ctx),
+# Column scorers over the per-case features built in ``score_cases``:
+# ``_ta``/``_te``/``_tc`` token sets of actual, expected and context text,
+# ``_eq`` the stripped, lower-cased equality of actual and expected.
+_COLUMN_SCORERS: dict[str, Callable[[], Column]] = {
+    "TokenRecall": lambda: _recall(F.col("_te"), F.col("_ta")),
+    "ExactMatch": lambda: F.when(F.col("_eq"), F.lit(1.0)).otherwise(F.lit(0.0)),
+    "ContextRecall": lambda: _recall(F.col("_tc"), F.col("_ta")),
 }
 
 
@@ -92,10 +99,6 @@ def _with_context_text(cases: DataFrame) -> DataFrame:
     return cases.withColumn("context_text", F.coalesce(F.element_at("retrieval_context", 1), F.lit("")))
 
 
-def _recall(exp: Column, act: Column) -> Column:
-    return F.try_divide(F.size(F.array_intersect(exp, act)).cast("double"), F.size(exp).cast("double"))
-
-
 def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGET,
                 max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Column-scorer path (X1): one row per case and metric,
@@ -114,13 +117,8 @@ def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGE
         (F.lower(strip_ws("actual_output")) == F.lower(strip_ws("expected_output"))).alias("_eq"),
     )
     lengths = {f: F.col(f"_len_{f}") for f in fields}
-    raw = {
-        "TokenRecall": lambda: _recall(F.col("_te"), F.col("_ta")),
-        "ExactMatch": lambda: F.when(F.col("_eq"), F.lit(1.0)).otherwise(F.lit(0.0)),
-        "ContextRecall": lambda: _recall(F.col("_tc"), F.col("_ta")),
-    }
     entries = F.array(*[
-        F.struct(F.lit(s.metric_name).alias("metric"), raw[s.metric_name]().alias("raw"),
+        F.struct(F.lit(s.metric_name).alias("metric"), _COLUMN_SCORERS[s.metric_name]().alias("raw"),
                  (F.floor(judge_prompt_length(s, lengths) / F.lit(4)) + F.lit(max_tokens)).cast("long").alias("estimate"))
         for s in specs
     ])

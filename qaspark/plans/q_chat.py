@@ -68,8 +68,8 @@ def render_chat(spark, sf_dir):
 
 
 def _template_for(category):
-    n = F.substring(category, 4, 2).cast("int")
-    return n
+    """The category number of ``catN``; it picks the template of the row."""
+    return F.substring(category, 4, 2).cast("int")
 
 
 @register(
