@@ -108,11 +108,19 @@ select user_id, cast(longest as bigint) as longest, cast(current as bigint) as c
        longest >= {STALL_AFTER} as stalled from agg""",
 )
 def stream_stall(spark, sf_dir):
-    ev = ST.table_stream(spark, sf_dir, "events")
-    rounds = ev.select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("empty"))
-    out, ckpt = ST.scratch(spark, "stream-stall")
-    ST.run_to_parquet(ST.stall_stream(rounds, STALL_AFTER), out, ckpt, mode="update")
-    return spark.read.parquet(out)
+    """Empty-round streaks as stream state: the first half of January
+    arrives, the stream stops, the rest arrives and the stream resumes from
+    its checkpoint, so streaks running across the cut continue from state."""
+    base = scratch_path(spark, "stream-stall")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    ev = load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
+    cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in (cut, ~cut):
+        ev.where(part).write.mode("append").parquet(src)
+        stream = ST.file_stream(spark, src, ev.schema)
+        rounds = stream.select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("empty"))
+        ST.run_to_parquet(ST.stall_stream(rounds, STALL_AFTER), out, ckpt, mode="update")
+    return ST.latest_per_key(spark.read.parquet(out), "user_id")
 
 
 @register("stream_late")

@@ -39,14 +39,19 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
 
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> object:
     """Run a stream over everything available now and stop. ``append``
-    writes through the file sink; ``complete``/``update`` results are
-    written per batch by ``foreachBatch`` (complete: replace the folder)."""
+    writes through the file sink; ``complete`` replaces the folder with the
+    full result each batch; ``update`` appends each batch's changed rows
+    tagged with ``batch_id`` (a replayed batch rewrites equal rows, so
+    ``latest_per_key`` stays right)."""
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode(mode)
     if mode == "append":
         q = w.format("parquet").option("path", out).start()
     else:
         def write(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+            if mode == "complete":
+                batch.write.mode("overwrite").parquet(out)
+            else:
+                batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(out)
 
         q = w.foreachBatch(write).start()
     q.awaitTermination()
@@ -103,6 +108,14 @@ def _stall_fn(stall_after: int):
     return update
 
 
+def latest_per_key(updates: DataFrame, key: str = "user_id") -> DataFrame:
+    """Current value per key from an update-mode sink: the row of the last
+    batch that touched the key (a partial ``max_by`` aggregate)."""
+    cols = [c for c in updates.columns if c not in (key, "batch_id")]
+    last = updates.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
+    return last.select(key, *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
 def stall_stream(rounds: DataFrame, stall_after: int = 80) -> DataFrame:
     """Current and longest run of empty rounds per key, kept as state across
     batches (T5)."""
