@@ -18,10 +18,19 @@ _T0 = 1704067200  # 2024-01-01 00:00:00 UTC: arrival time of document 0
     with_(QA_DOCS) + f"select distinct {strip('question')} as question_key from qa_docs",
 )
 def stream_dedupe(spark, sf_dir):
-    docs = ST.table_stream(spark, sf_dir, "documents")
-    arrivals = docs.select("doc_id", F.timestamp_seconds(F.lit(_T0) + F.col("doc_id")).alias("ts"), "text")
-    out, ckpt = ST.scratch(spark, "stream-dedupe")
-    ST.run_to_parquet(ST.dedupe_stream(arrivals, ST.question_key()).select("question_key", "ts"), out, ckpt)
+    """First-seen dedupe as documents arrive (document ``i`` at second
+    ``i``): the first half arrives, the stream stops, the second half
+    arrives and the stream resumes; copies across the stop are still
+    dropped from state."""
+    base = scratch_path(spark, "stream-dedupe")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    docs = load(spark, sf_dir, "documents").select(
+        "doc_id", F.timestamp_seconds(F.lit(_T0) + F.col("doc_id")).alias("ts"), "text")
+    half = docs.agg(F.percentile_approx("doc_id", 0.5).alias("m")).collect()[0]["m"]  # one number
+    for part in (F.col("doc_id") <= half, F.col("doc_id") > half):
+        docs.where(part).write.mode("append").parquet(src)
+        arrivals = ST.file_stream(spark, src, docs.schema)
+        ST.run_to_parquet(ST.dedupe_stream(arrivals, ST.question_key()).select("question_key", "ts"), out, ckpt)
     return spark.read.parquet(out).select("question_key")
 
 
