@@ -410,7 +410,16 @@ def compare_runs(spark, sf_dir):
     return CMP.compare_runs(post, base, _specs(post, revised=("click",)), _specs(base), verdict_metric="click")
 
 
-@register("report_lines")
+@register(
+    "report_lines",
+    _SUMS + """select metric,
+       printf('%-30s %10.3f %12.3f %s%9.3f %s%8.1f%%', metric, baseline_avg, finetuned_avg,
+              case when delta >= 0 then '+' else '' end, delta,
+              case when relative_change >= 0 then '+' else '' end, relative_change) as score_line,
+       printf('%-30s %9.1f%% %11.1f%% %s%8.1f%%', metric, baseline_pass * 100, finetuned_pass * 100,
+              case when pass_rate_change >= 0 then '+' else '' end, pass_rate_change * 100) as pass_line
+from joined""",
+)
 def report_lines(spark, sf_dir):
     base, post = _summaries(spark, sf_dir)
     return CMP.report_lines(CMP.compare_runs(post, base, verdict_metric="click"))
