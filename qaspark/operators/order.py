@@ -25,12 +25,43 @@ from qaspark.session import ensure_checkpoint_dir
 _B, _P = "_qs_range", "_qs_inpos"
 
 
+# Target bytes per range when the input is large (by Catalyst's estimate).
+RANGE_TARGET_BYTES = 128 * 1024 * 1024
+
+
+# Upper bound on the range count chosen from an estimate.
+MAX_RANGES = 1_000_000
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate, capped by the total size of the plan's
+    leaf inputs (join estimates can be far too high); None when unknown
+    (Catalyst then reports ``spark.sql.defaultSizeInBytes``)."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        est = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        leaf_total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        raw = str(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))).lower().rstrip("b")
+        unknown = int(raw) if raw.isdigit() else 2**63 - 1
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+    est = min(est, leaf_total)
+    return None if est >= unknown else est
+
+
 def _ranged(df: DataFrame, order, num_ranges: int | None) -> DataFrame:
-    """Range exchange on the order key. Without an explicit count, AQE may
-    merge adjacent small ranges to its advisory size (order is kept), so
-    the range count follows the data volume rather than a fixed number."""
+    """Range exchange on the order key. With an explicit count, that many
+    ranges. Otherwise, if Catalyst estimates more than ~256 MB per default
+    shuffle partition, enough ranges for ~128 MB each (AQE never splits a
+    big range, and one range is sorted by one task); else no count, so AQE
+    may merge adjacent small ranges (order is kept)."""
     if num_ranges:
         return df.repartitionByRange(int(num_ranges), *order)
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    est = _estimated_bytes(df)
+    if est is not None and est > default * 2 * RANGE_TARGET_BYTES:
+        return df.repartitionByRange(int(min(-(-est // RANGE_TARGET_BYTES), MAX_RANGES)), *order)
     return df.repartitionByRange(*order)
 
 

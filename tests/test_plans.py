@@ -50,3 +50,19 @@ def test_filter_reaches_the_scan(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").where(F.col("event_type") == "error").select("event_id")
     plan = _plan(ev)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan
+
+
+def test_range_count_follows_size_estimate(spark):
+    from qaspark.operators import order as O
+
+    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    small = O._ranged(df, [F.col("l_orderkey")], None)
+    assert "rangepartitioning(l_orderkey#" in _plan(small) and "REPARTITION_BY_COL" in _plan(small)
+    old = O.RANGE_TARGET_BYTES
+    O.RANGE_TARGET_BYTES = 1024  # pretend the table is huge relative to the target
+    try:
+        big = O._ranged(df, [F.col("l_orderkey")], None)
+        est = O._estimated_bytes(df)
+        assert f", {-(-est // 1024)}), REPARTITION_BY_NUM" in _plan(big)
+    finally:
+        O.RANGE_TARGET_BYTES = old
