@@ -56,10 +56,12 @@ def bracket_span(c) -> Column:
     return F.when((first > 0) & (last_rev > 0) & (last > first), F.substring(c, first, last - first + 1))
 
 
-def extract_items(c) -> Column:
-    """``array<variant>`` of reply elements (F24); never null."""
+def extract_items(c, parsed=None) -> Column:
+    """``array<variant>`` of reply elements (F24); never null. ``parsed`` is
+    an optional column already holding ``strict_json(c)``; projecting it
+    first lets the parse run once per row instead of once per branch."""
     c = _c(c)
-    v0 = strict_json(c)
+    v0 = strict_json(c) if parsed is None else _c(parsed)
     as_array = F.try_variant_get(v0, "$", ARR)
     values = F.map_values(F.from_json(c, "map<string,variant>"))
     lists = F.filter(values, lambda v: _is_array(v))
