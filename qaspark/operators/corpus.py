@@ -28,23 +28,23 @@ def reply_items(df: DataFrame, raw: str = "raw", keep=("id", "requested_category
     text = df.select(*keep, strip_fence(raw).alias("_qs_text"))
     parsed = text.select(*keep, "_qs_text", strict_json("_qs_text").alias("_qs_v0"))
     items = parsed.select(*keep, F.posexplode_outer(extract_items("_qs_text", "_qs_v0")).alias("item_pos", "item"))
-    q = field_text(F.col("item"), "question")
-    a = field_text(F.col("item"), "answer")
-    reason = (
-        F.when(F.col("item").isNull(), F.lit("no_items"))
-        .when(~_is_object(F.col("item")), F.lit("not_object"))
-        .when(q.isNull(), F.lit("missing_question"))
-        .when(a.isNull(), F.lit("missing_answer"))
-        .when(normalize_question(q) == F.lit(""), F.lit("blank_question"))
-    )
-    return items.select(
+    fields = items.select(
         *keep,
         F.col("item_pos").cast("long").alias("item_pos"),
+        F.col("item").isNull().alias("_qs_none"),
+        _is_object(F.col("item")).alias("_qs_obj"),
         field_text(F.col("item"), "category").alias("item_category"),
-        q.alias("question_raw"),
-        a.alias("answer"),
-        reason.alias("reason"),
+        field_text(F.col("item"), "question").alias("question_raw"),
+        field_text(F.col("item"), "answer").alias("answer"),
+    )
+    reason = (
+        F.when(F.col("_qs_none"), F.lit("no_items"))
+        .when(~F.col("_qs_obj"), F.lit("not_object"))
+        .when(F.col("question_raw").isNull(), F.lit("missing_question"))
+        .when(F.col("answer").isNull(), F.lit("missing_answer"))
+        .when(normalize_question("question_raw") == F.lit(""), F.lit("blank_question"))
     )
+    return fields.select(*keep, "item_pos", "item_category", "question_raw", "answer", reason.alias("reason"))
 
 
 def resolve_category(item_category, requested, categories) -> Column:
