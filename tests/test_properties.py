@@ -142,3 +142,31 @@ def test_large_quota_rank_equals_window_rank(spark):
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert small == large
+
+
+def test_reindex_with_empty_ranges(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(20)], "id long, g long")
+    got = sorted((r["id"], r["rid"]) for r in reindex(df, ["g", "id"], "rid", num_ranges=50).collect())
+    order = sorted(range(20), key=lambda i: (i % 3, i))
+    assert got == sorted((i, k + 1) for k, i in enumerate(order))
+
+
+def test_large_n_paths_equal_top_k(spark, monkeypatch):
+    rows = [(i, f"g{i % 4}") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, category string")
+    small_cap = sorted(r["id"] for r in C.cap_to_target(df, 120).collect())
+    small_sample = sorted(r["id"] for r in S.eval_sample(df, 50).collect())
+    monkeypatch.setattr(C, "TOP_K_LIMIT", 10)
+    assert sorted(r["id"] for r in C.cap_to_target(df, 120).collect()) == small_cap == list(range(120))
+    assert sorted(r["id"] for r in S.eval_sample(df, 50).collect()) == small_sample
+
+
+def test_top_up_equals_brute_force(spark):
+    held = [(1, "a", "q1", "x"), (2, "a", "q2", "x")]
+    cand = [(10, "b", " q2 ", "y"), (11, "b", "q3", "y"), (12, "b", "q3", "z"), (13, "b", "q4", "y"),
+            (14, "b", "q5", "y")]
+    schema = "id long, category string, question string, answer string"
+    out = C.top_up(spark.createDataFrame(held, schema), spark.createDataFrame(cand, schema), 4)
+    got = sorted((r["id"], r["question"]) for r in out.collect())
+    # held first, then unseen first-seen candidates in id order, capped at 4, renumbered
+    assert got == [(1, "q1"), (2, "q2"), (3, "q3"), (4, "q4")]
