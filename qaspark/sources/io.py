@@ -100,7 +100,7 @@ def append_checkpoint(lines: DataFrame, path: str) -> None:
 
 def parse_checkpoint(lines: DataFrame, value: str = "value") -> DataFrame:
     """Checkpoint lines to ``idx, question, written_at, scores``.
-    Lines that are not JSON objects or carry no integral ``idx`` vanish;
+    Lines that are not JSON objects or carry no whole-number ``idx`` vanish;
     ``"scores": null`` keeps the case as done with no scores; only numeric
     and boolean scores are kept (P7), as doubles."""
     v = F.try_parse_json(F.col(value))
@@ -116,16 +116,21 @@ def parse_checkpoint(lines: DataFrame, value: str = "value") -> DataFrame:
 
     kept = F.map_filter(m, lambda k, x: numeric(x))
     scores = F.transform_values(kept, lambda k, x: F.try_variant_get(x, "$", "double"))
+    idx_num = F.try_variant_get(v, "$.idx", "double")
     out = lines.select(
         F.try_variant_get(v, "$.idx", "bigint").alias("idx"),
         idx_kind.alias("_k"),
+        idx_num.alias("_kv"),
         F.try_variant_get(v, "$.question", "string").alias("question"),
         F.try_variant_get(v, "$.written_at", "string").alias("written_at"),
         scores.alias("scores"),
         F.schema_of_variant(v).alias("_root"),
     )
-    integral = F.col("_k").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,0\))$")
-    return out.where(F.col("_root").startswith("OBJECT") & F.col("idx").isNotNull() & integral).drop("_k", "_root")
+    # a number with a whole value: 2 and 2.0 both mark case 2 as done (Python compares them equal)
+    numeric_idx = F.col("_k").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
+    whole = F.col("_kv") == F.floor(F.col("_kv"))
+    keep = F.col("_root").startswith("OBJECT") & F.col("idx").isNotNull() & numeric_idx & whole
+    return out.where(keep).drop("_k", "_kv", "_root")
 
 
 def read_checkpoint(spark: SparkSession, path: str, duplicates: str = "latest") -> DataFrame:

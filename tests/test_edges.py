@@ -195,3 +195,10 @@ def test_pending_cases_retry_flag(spark):
     done = spark.createDataFrame([(0, {"A": 0.5}), (1, {}), (2, None)], "idx long, scores map<string,double>")
     assert sorted(r["idx"] for r in K.pending_cases(cases, done).collect()) == [3, 4]
     assert sorted(r["idx"] for r in K.pending_cases(cases, done, retry_failed=True).collect()) == [1, 2, 3, 4]
+
+
+def test_checkpoint_idx_forms(spark):
+    lines = ['{"idx": 3, "scores": {}}', '{"idx": 4.0, "scores": {}}', '{"idx": 5.5, "scores": {}}',
+             '{"idx": "6", "scores": {}}', '{"idx": true, "scores": {}}', '[1, 2]']
+    df = spark.createDataFrame([(s,) for s in lines], "value string")
+    assert sorted(r["idx"] for r in IO.parse_checkpoint(df).collect()) == [3, 4]
