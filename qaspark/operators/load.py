@@ -103,10 +103,13 @@ def empty_streaks(rounds: DataFrame, key: str, ts: str, id_col: str, empty, stop
     island of a round is the number of non-empty rounds up to it (a global
     prefix sum in (key, time) order, so per key it only grows). Streaks are
     then a partial aggregate per (key, island)."""
-    flagged = rounds.select(key, ts, id_col, F.when(empty, 0).otherwise(1).alias("_ne"), empty.alias("_empty"))
-    pref = running_sums(flagged, [key, ts, id_col], {"_island": "_ne"})
+    flagged = rounds.select(key, ts, id_col, F.when(empty, 0).otherwise(1).alias("_ne"), empty.alias("_empty"),
+                            F.lit(1).alias("_one"))
+    # the same pass numbers the rounds, so the streak start is a min_by over
+    # one long (fixed-width buffer: hash aggregate, not sort aggregate)
+    pref = running_sums(flagged, [key, ts, id_col], {"_island": "_ne", "_pos": "_one"})
     streaks = pref.where(F.col("_empty")).groupBy(key, "_island").agg(
-        F.min_by(F.col(id_col), F.struct(ts, id_col)).alias("start_id"),
+        F.min_by(F.col(id_col), F.col("_pos")).alias("start_id"),
         F.count(F.lit(1)).alias("length"),
     )
     return streaks.select(key, "start_id", "length", (F.col("length") >= stop_after).alias("stopped"))
