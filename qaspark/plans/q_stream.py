@@ -41,12 +41,19 @@ def stream_dedupe(spark, sf_dir):
 from call_log, range(0, 6) r(k) group by 1""",
 )
 def stream_load(spark, sf_dir):
-    ev = ST.table_stream(spark, sf_dir, "events")
-    calls = ev.select(F.col("ts").cast("timestamp").alias("ts"),
-                      F.floor(F.col("value") * F.lit(10.0)).cast("long").alias("tokens"))
-    out, ckpt = ST.scratch(spark, "stream-load")
-    ST.run_to_parquet(ST.load_stream(calls), out, ckpt, mode="complete")
-    res = spark.read.parquet(out)
+    """Sliding-window call load in update mode: each batch appends the
+    windows it changed, the watermark evicts finished windows from state,
+    and the final value of a window is its row from the latest batch. The
+    input arrives in two parts with a restart in between."""
+    base = scratch_path(spark, "stream-load")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    ev = load(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"),
+                                              F.floor(F.col("value") * F.lit(10.0)).cast("long").alias("tokens"))
+    cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for part in (cut, ~cut):
+        ev.where(part).write.mode("append").parquet(src)
+        ST.run_to_parquet(ST.load_stream(ST.file_stream(spark, src, ev.schema)), out, ckpt, mode="update")
+    res = ST.latest_per_key(spark.read.parquet(out), "w")
     return res.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "n_calls", "tokens")
 
 

@@ -72,7 +72,9 @@ def dedupe_stream(replies: DataFrame, key, event_time: str = "ts", delay: str =
 
 def load_stream(calls: DataFrame, ts: str = "ts", width: str = "60 minutes", slide: str = "10 minutes",
                 delay: str = "2 hours") -> DataFrame:
-    """Sliding-window call count and token sum."""
+    """Sliding-window call count and token sum (T2). Run it in update mode:
+    the watermark evicts finished windows, so state stays bounded by the
+    windows still open (``latest_per_key`` on ``w`` gives final values)."""
     return calls.withWatermark(ts, delay).groupBy(F.window(ts, width, slide).alias("w")).agg(
         F.count(F.lit(1)).alias("n_calls"), F.sum("tokens").alias("tokens"))
 
