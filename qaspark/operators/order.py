@@ -10,9 +10,9 @@ semantics but split the work by range:
 2. Each row is tagged with its range number and its position in the
    sorted range; the tagged table is checkpointed to the shared folder so
    the tags stay fixed if an executor is lost and the plan is recomputed.
-3. Per-range counts (one row per range, bounded by the partition count)
-   become prefix offsets, inlined as a literal array: no join, no driver
-   loop over data.
+3. Per-range counts or sums become running totals over a table of one row
+   per range, joined back by range number. Nothing per range goes through
+   the driver or into the plan.
 """
 
 from __future__ import annotations
@@ -24,45 +24,9 @@ from qaspark.session import ensure_checkpoint_dir
 
 _B, _P = "_qs_range", "_qs_inpos"
 
-
-# Target bytes per range when the input is large (by Catalyst's estimate).
-RANGE_TARGET_BYTES = 128 * 1024 * 1024
-
-
-# Upper bound on the range count chosen from an estimate.
-MAX_RANGES = 1_000_000
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, capped by the total size of the plan's
-    leaf inputs (join estimates can be far too high); None when unknown
-    (Catalyst then reports ``spark.sql.defaultSizeInBytes``)."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        est = int(str(plan.stats().sizeInBytes()))
-        leaves = plan.collectLeaves()
-        leaf_total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-        raw = str(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))).lower().rstrip("b")
-        unknown = int(raw) if raw.isdigit() else 2**63 - 1
-    except Exception:  # noqa: BLE001 - an estimate is optional
-        return None
-    est = min(est, leaf_total)
-    return None if est >= unknown else est
-
-
-def _ranged(df: DataFrame, order, num_ranges: int | None) -> DataFrame:
-    """Range exchange on the order key. With an explicit count, that many
-    ranges. Otherwise, if Catalyst estimates more than ~256 MB per default
-    shuffle partition, enough ranges for ~128 MB each (AQE never splits a
-    big range, and one range is sorted by one task); else no count, so AQE
-    may merge adjacent small ranges (order is kept)."""
-    if num_ranges:
-        return df.repartitionByRange(int(num_ranges), *order)
-    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    est = _estimated_bytes(df)
-    if est is not None and est > default * 2 * RANGE_TARGET_BYTES:
-        return df.repartitionByRange(int(min(-(-est // RANGE_TARGET_BYTES), MAX_RANGES)), *order)
-    return df.repartitionByRange(*order)
+# The table of running totals has one row per range. Up to this many ranges
+# (about 16 MB) it is broadcast; above it, it is joined by a shuffle.
+BROADCAST_RANGES = 1_000_000
 
 
 def _cols(cols) -> list[Column]:
@@ -71,80 +35,80 @@ def _cols(cols) -> list[Column]:
 
 def tag_ranges(df: DataFrame, order_cols, num_ranges: int | None = None) -> DataFrame:
     """Range-partition by ``order_cols``, sort each range, add the range
-    number ``_qs_range`` and the position inside it ``_qs_pos``; checkpoint."""
+    number ``_qs_range`` and the position inside it ``_qs_inpos``;
+    checkpoint. Without ``num_ranges`` there are as many ranges as
+    ``spark.sql.shuffle.partitions``, of which AQE merges small neighbours."""
     ensure_checkpoint_dir(df.sparkSession)
     order = _cols(order_cols)
-    ranged = _ranged(df, order, num_ranges).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(int(num_ranges), *order) if num_ranges else df.repartitionByRange(*order)
     pid = F.spark_partition_id().cast("long")
-    tagged = ranged.withColumn(_B, pid).withColumn(
-        _P, F.monotonically_increasing_id() - F.shiftleft(pid, 33)
-    )
-    return tagged.checkpoint(eager=True)
+    tagged = ranged.sortWithinPartitions(*order).withColumn(_B, pid)
+    return tagged.withColumn(_P, F.monotonically_increasing_id() - F.shiftleft(pid, 33)).checkpoint(eager=True)
 
 
-def _offsets(tagged: DataFrame, weight: Column | None = None) -> Column:
-    """Literal array of exclusive prefix sums per range (count or weight)."""
-    agg = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
-    rows = tagged.groupBy(_B).agg(agg.cast("long").alias("n")).collect()
-    sizes = {r[_B]: r["n"] for r in rows}
-    n_ranges = (max(sizes) + 1) if sizes else 1
-    acc, offs = 0, []
-    for b in range(n_ranges):
-        offs.append(acc)
-        acc += sizes.get(b, 0)
-    return F.element_at(F.array(*[F.lit(o).cast("long") for o in offs]), F.col(_B).cast("int") + 1)
+def add_totals(tagged: DataFrame, totals: dict) -> DataFrame:
+    """Add, per output column, the sum of an aggregate over all earlier
+    ranges (0 for the first)."""
+    per = tagged.groupBy(_B).agg(*[agg.alias(name) for name, agg in totals.items()])
+    earlier = Window.orderBy("_qs_r").rowsBetween(Window.unboundedPreceding, -1)
+    table = per.withColumnRenamed(_B, "_qs_r").select(
+        "_qs_r", *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in totals]
+    )
+    if tagged.rdd.getNumPartitions() <= BROADCAST_RANGES:
+        table = F.broadcast(table)
+    return tagged.join(table, F.col(_B) == F.col("_qs_r"), "left").drop("_qs_r")
 
 
 def reindex(df: DataFrame, order_cols, id_col: str = "id", start: int = 1, num_ranges: int | None = None) -> DataFrame:
     """Contiguous ids ``start, start+1, ...`` in the order of ``order_cols``
     (W4), without a single-partition window."""
-    tagged = tag_ranges(df, order_cols, num_ranges)
-    offset = _offsets(tagged)
-    out = tagged.withColumn(id_col, (offset + F.col(_P) + F.lit(start)).cast("long"))
-    return out.drop(_B, _P)
+    tagged = add_totals(tag_ranges(df, order_cols, num_ranges), {"_qs_off": F.count(F.lit(1))})
+    out = tagged.withColumn(id_col, (F.col("_qs_off") + F.col(_P) + F.lit(start)).cast("long"))
+    return out.drop(_B, _P, "_qs_off")
 
 
 def running_sums(df: DataFrame, order_cols, sums: dict, num_ranges: int | None = None) -> DataFrame:
     """Global inclusive running sums in ``order_cols`` order (prefix sums in
-    two passes). ``sums`` maps output column -> input column. Per-range
-    running sums come from a window keyed by the range number (ranges are
-    balanced by the range partitioner), plus the totals of earlier ranges."""
+    two passes). ``sums`` maps output column -> input column; the sum keeps
+    the type Spark gives to a sum of the input, and nulls add nothing.
+    Per-range running sums come from a window keyed by the range number
+    (ranges are balanced by the range partitioner), plus the totals of
+    earlier ranges."""
     tagged = tag_ranges(df, order_cols, num_ranges)
-    totals = tagged.groupBy(_B).agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(o) for o, v in sums.items()])
-    rows = totals.collect()  # one row per range
-    n_ranges = (max(r[_B] for r in rows) + 1) if rows else 1
     w = Window.partitionBy(_B).orderBy(_P).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = tagged
+    out = add_totals(tagged, {f"_qs_off_{o}": F.sum(v) for o, v in sums.items()})
     for o, v in sums.items():
-        per = {r[_B]: r[o] for r in rows}
-        acc, offs = 0, []
-        for b in range(n_ranges):
-            offs.append(acc)
-            acc += per.get(b, 0)
-        offset = F.element_at(F.array(*[F.lit(x).cast("long") for x in offs]), F.col(_B).cast("int") + 1)
-        out = out.withColumn(o, (offset + F.sum(v).over(w)).cast("long"))
-    return out.drop(_B, _P)
-
-
-def running_sum(df: DataFrame, order_cols, value_col: str, out_col: str, num_ranges: int | None = None) -> DataFrame:
-    return running_sums(df, order_cols, {out_col: value_col}, num_ranges)
+        out = out.withColumn(o, F.col(f"_qs_off_{o}") + F.coalesce(F.sum(v).over(w), F.lit(0)))
+    return out.drop(_B, _P, *[f"_qs_off_{o}" for o in sums])
 
 
-def with_next(df: DataFrame, partition_cols, order_cols, value_cols, suffix: str = "_next") -> DataFrame:
+def with_next(df: DataFrame, partition_cols, order_cols, value_cols, suffix: str = "_next", keep: Column | None = None, id_col: str | None = None) -> DataFrame:
     """``lead(v) over (partition by p order by o)`` for every ``v`` in
-    ``value_cols``, computed as an equi-join of global position ``i`` with
-    ``i + 1`` under equal partition keys. The join key is unique, so a
-    partition key holding a third of the rows still spreads evenly."""
+    ``value_cols``, from one tagging: ``lead`` inside each range, and the
+    first row of the next range for the last row of one. A partition key
+    holding a third of the rows is spread over many ranges.
+
+    With ``keep`` (a condition that may use the new columns) only those rows
+    are returned, and ``id_col`` numbers them from 1 in the order of the
+    partition and order columns, from per-range counts of the kept rows."""
     parts = list(partition_cols)
-    pos = "_qs_gpos"
-    indexed = reindex(df, parts + list(order_cols), pos, start=0)
-    nxt = indexed.select(
-        (F.col(pos) - 1).alias("_qs_gpos_n"),
-        *[F.col(p).alias(f"_qs_p_{p}") for p in parts],
-        *[F.col(v).alias(f"{v}{suffix}") for v in value_cols],
-    )
-    cond = F.col(pos) == F.col("_qs_gpos_n")
+    tagged = tag_ranges(df, parts + list(order_cols))
+    row = F.struct(*parts, *value_cols)
+    firsts = tagged.where(F.col(_P) == 0).select(F.col(_B).alias("_qs_r"), row.alias("_qs_row"))
+    after = firsts.select("_qs_r", F.lead("_qs_row").over(Window.orderBy("_qs_r")).alias("_qs_after"))
+    w = Window.partitionBy(_B).orderBy(_P)
+    inside = tagged.withColumn("_qs_lead", F.lead(row).over(w)).withColumn("_qs_end", F.lead(F.lit(1)).over(w).isNull())
+    ends = inside.join(after, F.when(F.col("_qs_end"), F.col(_B)) == F.col("_qs_r"), "left")
+    nxt = F.when(F.col("_qs_end"), F.col("_qs_after")).otherwise(F.col("_qs_lead"))
+    same = F.lit(True)
     for p in parts:
-        cond = cond & F.col(p).eqNullSafe(F.col(f"_qs_p_{p}"))
-    joined = indexed.join(nxt, cond, "left")
-    return joined.select(*df.columns, *[f"{v}{suffix}" for v in value_cols])
+        same = same & F.col(p).eqNullSafe(F.col("_qs_nxt")[p])
+    joined = ends.withColumn("_qs_nxt", nxt).select(
+        *df.columns, _B, _P, *[F.when(same & F.col("_qs_nxt").isNotNull(), F.col("_qs_nxt")[v]).alias(f"{v}{suffix}") for v in value_cols]
+    )
+    if keep is not None:
+        joined = joined.where(keep)
+    if id_col:
+        joined = add_totals(joined, {"_qs_off": F.count(F.lit(1))})
+        joined = joined.withColumn(id_col, (F.col("_qs_off") + F.row_number().over(w)).cast("long")).drop("_qs_off")
+    return joined.drop(_B, _P)
