@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding by a distinct-word table.
 
-Tasks split texts into words with the tokenizer's pattern and collect them
-by block (a run of documents of bounded size). A document becomes the codes
-of its words, by position, in its block's word list; only these codes and
-the lists are shuffled, never texts. The lists of all blocks are brought
-together by word, each distinct word is encoded once, and its ids go back to
-the blocks that hold it, where they are put in the words' positions. Ids are
-decoded through the vocabulary's table from id to piece, which is as large
-as the vocabulary and is broadcast.
+Tasks split texts into words with the tokenizer's pattern and count them by
+block (a run of documents of bounded size). A document becomes the codes of
+its words, by position, in its block's word list (ranks by frequency, so that
+they press well); only these codes and the lists are shuffled, never texts.
+The lists of all blocks are brought together by word hash, each distinct word
+is encoded once, and its ids go back to the blocks that hold it, where they
+are put in the words' positions. Ids are decoded through the vocabulary's
+table from id to piece, which is as large as the vocabulary and is broadcast.
 
 Blocks are cut while the table is read, so both passes over the texts must
 see the same rows in the same order, as scans of files do; other inputs are
@@ -25,6 +25,8 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +40,13 @@ from pyspark.sql import functions as F
 from qaspark.llm.common import materialise
 from qaspark.session import ship_package
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 16_000_000
 # Fixed value: the split pattern of the tokenizer's byte-level step.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_ENCODED = "block long, code int, ids binary"
+# The same over texts of a few kinds of characters only, which the standard
+# library's faster expressions can tell apart.
+_PLAIN = r"'(?:s|t|re|ve|m|ll|d)| ?[{0}]+| ?[0-9]+| ?[^\s0-9{0}]+|\s+(?!\S)|\s+"
+_LATIN_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 
 
 def default_path() -> str:
@@ -60,9 +65,18 @@ class Splitter:
     """Texts into the words that the tokenizer encodes apart."""
 
     def __init__(self, special: tuple[str, ...]):
-        self._find = regex.compile(PATTERN).findall
+        # white space is the Unicode property, which leaves out \x1c-\x1f
+        self._any = regex.compile(PATTERN.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self._ascii = re.compile(_PLAIN.format("A-Za-z")).findall
+        self._latin = re.compile(_PLAIN.format(_LATIN_LETTERS)).findall
+        self._odd = re.compile(f"[^\t-\r -~{_LATIN_LETTERS}]").search
         self._special = special
-        self._cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+
+    def _find(self, text: str) -> list[str]:
+        if self._odd(text):
+            return self._any(text)
+        return self._ascii(text) if text.isascii() else self._latin(text)
 
     def words(self, text: str) -> list[str]:
         if self._cut is None or not any(s in text for s in self._special):
@@ -89,54 +103,89 @@ def _unpack(data: bytes, press) -> np.ndarray:
     return planes.T.copy().view("<u4").ravel().astype(np.int64)
 
 
-def _blocks(batches: Iterator[pd.DataFrame], special: tuple[str, ...]):
-    """``name, doc_ids, codes of each document, words`` of each block; codes
-    are ranks by frequency, so that common words have small ones."""
-    split = Splitter(special).words
-    ids, codes, known, size, mark = [], [], _Codes(), 0, xxhash.xxh3_64()
+class _Block:
+    """Rows of one block; its name is a fingerprint of them, in order."""
+
+    def __init__(self):
+        self.ids, self.size, self._mark = [], 0, xxhash.xxh3_64()
+
+    def add(self, doc_id, text: str) -> None:
+        self.ids.append(doc_id)
+        self.size += len(text)
+        self._mark.update(f"{doc_id}\0{len(text)}\0".encode() + text.encode("utf-8", "surrogatepass"))
+
+    def name(self) -> int:
+        return int(np.uint64(self._mark.intdigest()).astype(np.int64))
 
-    def cut():
-        flat = np.concatenate([np.empty(0, np.int64), *codes])
-        order = np.argsort(-np.bincount(flat, minlength=len(known)), kind="stable")
-        rank = np.empty(len(known), np.int64)
-        rank[order] = np.arange(len(known))
-        names = np.array(list(known), dtype=object)
-        return np.int64(np.uint64(mark.intdigest())), ids, [rank[c] for c in codes], names[order]
 
+def _ranks(counts: np.ndarray) -> np.ndarray:
+    """Word numbers (by first appearance) in falling order of frequency."""
+    return np.argsort(-counts, kind="stable")
+
+
+def _texts(batches: Iterator[pd.DataFrame]):
     for pdf in batches:
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-            text = text or ""
-            found = split(text)
-            ids.append(doc_id)
-            codes.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
-            mark.update(f"{doc_id}\0{len(text)}\0".encode() + text.encode("utf-8", "surrogatepass"))
-            size += len(text)
-            if size >= BLOCK_CHARS:
-                yield cut()
-                ids, codes, known, size, mark = [], [], _Codes(), 0, xxhash.xxh3_64()
-    if ids:
-        yield cut()
-
-
-def _words_of(special):
+            yield doc_id, text or ""
+
+
+def _words_of(special, buckets: int):
+    """Word lists of blocks, dealt out by word hash: the words of a row are
+    pressed together with their codes."""
+
+    def rows(block: _Block, counts: Counter) -> pd.DataFrame:
+        words = np.array([w.encode("utf-8", "surrogatepass") for w in counts], dtype=object)
+        words = words[_ranks(np.fromiter(counts.values(), np.int64, len(counts)))]
+        bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        press, out = zstandard.ZstdCompressor(level=3), []
+        for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            if len(part):
+                mine = words[part]
+                lengths = np.array([len(w) for w in mine], "<u4")
+                out.append((int(bucket[part[0]]), block.name(), _pack(part, press), _pack(lengths, press), press.compress(b"".join(mine))))
+        return pd.DataFrame(out, columns=["bucket", "block", "codes", "lengths", "words"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for name, _, _, words in _blocks(batches, special):
-            for start in range(0, len(words), 50_000):
-                part = words[start : start + 50_000]
-                yield pd.DataFrame({"block": name, "code": np.arange(start, start + len(part), dtype=np.int32), "word": part})
+        split, block, counts = Splitter(special).words, _Block(), Counter()
+        for doc_id, text in _texts(batches):
+            counts.update(split(text))
+            block.add(doc_id, text)
+            if block.size >= BLOCK_CHARS:
+                yield rows(block, counts)
+                block, counts = _Block(), Counter()
+        if block.ids:
+            yield rows(block, counts)
 
     return run
 
 
 def _documents_of(special):
+    """Documents as the codes of their words, by position."""
+
+    def rows(block: _Block, known: dict, codes: list) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(len(known), np.int64)
+        for c in codes:
+            np.add.at(counts, c, 1)
+        rank = np.empty(len(known), np.int64)
+        rank[_ranks(counts)] = np.arange(len(known))
+        press, name = zstandard.ZstdCompressor(level=3), block.name()
+        for start in range(0, len(codes), 2_000):
+            part = slice(start, start + 2_000)
+            packed = [_pack(rank[c], press) for c in codes[part]]
+            yield pd.DataFrame({"block": name, "doc_id": pd.array(block.ids[part], dtype="Int64"), "n_words": len(known), "codes": packed})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        press = zstandard.ZstdCompressor(level=1)
-        for name, ids, codes, words in _blocks(batches, special):
-            for start in range(0, len(ids), 2_000):
-                part = slice(start, start + 2_000)
-                yield pd.DataFrame(
-                    {"block": name, "doc_id": pd.array(ids[part], dtype="Int64"), "n_words": len(words), "codes": [_pack(c, press) for c in codes[part]]}
-                )
+        split, block, known, codes = Splitter(special).words, _Block(), _Codes(), []
+        for doc_id, text in _texts(batches):
+            found = split(text)
+            codes.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
+            block.add(doc_id, text)
+            if block.size >= BLOCK_CHARS:
+                yield from rows(block, known, codes)
+                block, known, codes = _Block(), _Codes(), []
+        if block.ids:
+            yield from rows(block, known, codes)
 
     return run
 
@@ -146,46 +195,60 @@ def _tokenizer(data: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_str(data)
+    tokenizer = Tokenizer.from_str(data)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def _encode_bucket(shared):
+    """The distinct words of one bucket, encoded once, as rows of ids for
+    each block that holds some of them."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        tokenizer, unpress = _tokenizer(shared.value), zstandard.ZstdDecompressor()
+        table, held = _Codes(), []
+        for lengths, words in zip(pdf["lengths"], pdf["words"], strict=True):
+            ends = np.cumsum(_unpack(lengths, unpress)).tolist()
+            flat = unpress.decompress(words)
+            held.append(np.fromiter((table[flat[a:b]] for a, b in zip([0, *ends], ends, strict=False)), np.int64, len(ends)))
+        distinct = [w.decode("utf-8", "surrogatepass") for w in table]
+        ids = []
+        for start in range(0, len(distinct), 20_000):
+            ids += [e.ids for e in tokenizer.encode_batch(distinct[start : start + 20_000], add_special_tokens=False)]
+        length = np.array([len(x) for x in ids], np.int64)
+        flat = np.fromiter((i for x in ids for i in x), np.int64, int(length.sum()))
+        begin = np.cumsum(length) - length
+        press, out = zstandard.ZstdCompressor(level=3), []
+        for block, codes, words in zip(pdf["block"], pdf["codes"], held, strict=True):
+            out.append((block, codes, _pack(length[words], press), _pack(flat[_spans(begin[words], length[words])], press)))
+        return pd.DataFrame(out, columns=["block", "codes", "lengths", "ids"])
 
+    return run
 
-def _encode_words(shared):
-    """Ids of words that come in order, so that equal ones are neighbours."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = _tokenizer(shared.value)
-        last, last_ids = None, b""
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            word = pdf["word"].to_numpy()
-            new = np.flatnonzero(np.r_[word[0] != last, word[1:] != word[:-1]])
-            found = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(word[new].tolist(), add_special_tokens=False)]
-            which = np.cumsum(np.isin(np.arange(len(word)), new)) - 1
-            ids = [found[i] if i >= 0 else last_ids for i in which.tolist()]
-            last, last_ids = word[-1], ids[-1]
-            yield pd.DataFrame({"block": pdf["block"], "code": pdf["code"], "ids": ids})
 
-    return run
+def _spans(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Indexes of consecutive spans."""
+    return np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
 
 
 def _place(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
     """A block's documents with the ids of their words in position."""
     if not len(docs):
         return pd.DataFrame({"doc_id": [], "ids": []})
-    words = words.drop_duplicates("code").sort_values("code")
-    if len(words) != docs["n_words"].iloc[0]:
+    unpress = zstandard.ZstdDecompressor()
+    parts = [[_unpack(x, unpress) for x in words[c]] for c in ("codes", "lengths", "ids")]
+    codes, length, flat = (np.concatenate([np.empty(0, np.int64), *p]) for p in parts)
+    n = int(docs["n_words"].iloc[0])
+    begin_of, length_of = np.full(n, -1), np.zeros(n, np.int64)
+    begin_of[codes], length_of[codes] = np.cumsum(length) - length, length
+    if n and begin_of.min() < 0:
         raise ValueError("a block's words are incomplete: its rows changed between two reads")
-    length = words["ids"].str.len().to_numpy(np.int64) // 4
-    flat = np.frombuffer(b"".join(words["ids"]), "<u4").astype(np.int32)
-    start = np.cumsum(length) - length
-    press = zstandard.ZstdDecompressor()
+    flat = flat.astype(np.int32)
     out = []
     for data in docs["codes"]:
-        codes = _unpack(data, press)
-        n = length[codes]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[codes], n)
-        out.append(flat[at])
+        c = _unpack(data, unpress)
+        out.append(flat[_spans(begin_of[c], length_of[c])])
     return pd.DataFrame({"doc_id": docs["doc_id"].to_numpy(), "ids": out})
 
 
@@ -201,8 +264,10 @@ def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> Da
     with open(path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
     special = _special(path)
-    words = docs.mapInPandas(_words_of(special), "block long, code int, word string")
-    encoded = words.repartition("word").sortWithinPartitions("word").mapInPandas(_encode_words(shared), _ENCODED)
+    # as many buckets of distinct words as there are shuffle partitions
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = docs.mapInPandas(_words_of(special, buckets), "bucket int, block long, codes binary, lengths binary, words binary")
+    encoded = words.groupBy("bucket").applyInPandas(_encode_bucket(shared), "block long, codes binary, lengths binary, ids binary")
     coded = docs.mapInPandas(_documents_of(special), "block long, doc_id long, n_words int, codes binary")
     return coded.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(_place, "doc_id long, ids array<int>")
 
