@@ -10,10 +10,13 @@ Jaccard similarity, whatever the size of the sets.
 
 Bands of ``ROWS`` registers are hashed to keys. In a group of documents with
 one key, the smallest is compared with each of the others (a star, not all
-pairs); a second step compares only those members of a group that lie in
-different components after the first. A pair is first held against the
-collision-corrected Jaccard estimate of the registers (with a wide margin)
-and then confirmed on the full sets. Copies with an equal set enter as one.
+pairs); a second step takes only those members of a group that lie in
+different components after the first, each pair at the first key it shares.
+In crowded groups it also leaves out pairs that can't be links, by an exact
+bound: shingles that no other document of those groups has are in no common
+part. A pair is first held against the collision-corrected Jaccard estimate
+of the registers (with a wide margin) and then confirmed on the full sets.
+Copies with an equal set enter as one.
 
 At a similarity of 0.85 a pair shares no band with a probability of about
 1.2e-7, and less above it.
@@ -49,6 +52,9 @@ MARGIN = 7.0
 # pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
+# Groups of more rows than this have the bound by unique shingles applied.
+CROWDED = 24
+
 _SKETCH_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, regs binary"
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
 
@@ -188,6 +194,29 @@ def _confirmed(batches):
         yield pdf.loc[np.array(keep, bool), ["a", "b"]]
 
 
+def _shingles(batches):
+    known = _WordHashes()
+    for pdf in batches:
+        for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+            s = shingle_hashes(text, known)
+            if len(s):
+                yield pd.DataFrame({"doc_id": doc_id, "s": s.view(np.int64)})
+
+
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with the given distinct ids."""
+    small = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids.hint("shuffle_hash"), "doc_id", "left_semi")
+
+
+def _own_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, own``: how many of a document's shingles no other document
+    of ``ids`` has."""
+    rows = _texts_of(docs, ids).mapInPandas(_shingles, "doc_id long, s long")
+    once = rows.groupBy("s").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+    return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``a, b`` that are links; texts are read for ids in likely
     pairs only."""
@@ -197,10 +226,7 @@ def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     )
     likely = materialise(near.mapInPandas(_likely, "a long, b long").distinct(), "pairs")
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        texts = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    else:
-        texts = docs.join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
+    texts = _texts_of(docs, ids)
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     full = likely.join(text("a"), "a").join(text("b"), "b")
     return materialise(full.mapInPandas(_confirmed, "a long, b long").distinct(), "links")
@@ -227,19 +253,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     bands = sets.select("doc_id", F.explode(keys).alias("key"))
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    grouped = materialise(bands.join(centres.select("key", "a"), "key").select("key", "a", "doc_id"), "groups")
+    grouped = materialise(bands.join(centres, "key").select("key", "a", "doc_id", "n"), "groups")
     stars = grouped.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     links = _links(stars, sets, docs)
     first = components(links)
 
     labelled = grouped.join(first, grouped.doc_id == first.node, "left").select(
-        "key", "a", "doc_id", F.coalesce("component", "doc_id").alias("c")
+        "key", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     left = materialise(labelled.join(mixed, "key"), "mixed")
-    x = left.select("key", F.col("a").alias("centre"), F.col("doc_id").alias("a"), F.col("c").alias("ca"))
-    y = left.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    rest = x.join(y, "key").where("a < b and ca <> cb and a <> centre").select("a", "b").distinct()
+    crowd = materialise(left.where(F.col("n") > CROWDED).select("doc_id").distinct(), "crowd")
+    own = materialise(_own_shingles(docs, crowd), "own")
+    size = sets.select("doc_id", "n_shingles", keys.alias("keys")).join(left.select("doc_id").distinct(), "doc_id", "left_semi")
+    size = materialise(size.join(own, "doc_id", "left"), "sizes")
+    rows = left.join(size, "doc_id").withColumn("shared", F.col("n_shingles") - F.when(F.col("n") > CROWDED, F.coalesce("own", F.lit(0))).otherwise(0))
+    x = rows.select("key", F.col("a").alias("centre"), F.col("doc_id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("shared").alias("sa"), F.col("keys").alias("ka"))
+    y = rows.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("shared").alias("sb"), F.col("keys").alias("kb"))
+    most = F.least("sa", "sb")
+    possible = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("a") != F.col("centre"))
+    possible &= most * 100 >= (F.col("na") + F.col("nb") - most) * THRESHOLD_PERCENT
+    at = F.array_position("ka", F.col("key")).cast("int")
+    earlier = F.arrays_overlap(F.slice("ka", 1, at - 1), F.slice("kb", 1, at - 1))
+    rest = x.join(y, "key").where(possible & ~earlier).select("a", "b").distinct()
     more = _links(rest, sets, docs)
     whole = components(links.unionByName(more))
 
