@@ -217,13 +217,17 @@ def _own_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are links; texts are read for ids in likely
-    pairs only."""
+def _with_registers(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of sizes that allow a link, with both registers."""
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
         (F.col("n_a") * 100 >= F.col("n_b") * THRESHOLD_PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * THRESHOLD_PERCENT)
     )
+
+
+def _links(near: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are links, from pairs with registers; texts
+    are read for ids in likely pairs only."""
     likely = materialise(near.mapInPandas(_likely, "a long, b long").distinct(), "pairs")
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = _texts_of(docs, ids)
@@ -255,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     grouped = materialise(bands.join(centres, "key").select("key", "a", "doc_id", "n"), "groups")
     stars = grouped.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _links(stars, sets, docs)
+    links = _links(_with_registers(stars, sets), docs)
     first = components(links)
 
     labelled = grouped.join(first, grouped.doc_id == first.node, "left").select(
@@ -265,18 +269,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = materialise(labelled.join(mixed, "key"), "mixed")
     crowd = materialise(left.where(F.col("n") > CROWDED).select("doc_id").distinct(), "crowd")
     own = materialise(_own_shingles(docs, crowd), "own")
-    size = sets.select("doc_id", "n_shingles", keys.alias("keys")).join(left.select("doc_id").distinct(), "doc_id", "left_semi")
+    size = sets.withColumn("keys", keys).join(left.select("doc_id").distinct(), "doc_id", "left_semi")
     size = materialise(size.join(own, "doc_id", "left"), "sizes")
     rows = left.join(size, "doc_id").withColumn("shared", F.col("n_shingles") - F.when(F.col("n") > CROWDED, F.coalesce("own", F.lit(0))).otherwise(0))
-    x = rows.select("key", F.col("a").alias("centre"), F.col("doc_id").alias("a"), F.col("c").alias("ca"), F.col("n_shingles").alias("na"), F.col("shared").alias("sa"), F.col("keys").alias("ka"))
-    y = rows.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("n_shingles").alias("nb"), F.col("shared").alias("sb"), F.col("keys").alias("kb"))
-    most = F.least("sa", "sb")
-    possible = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("a") != F.col("centre"))
-    possible &= most * 100 >= (F.col("na") + F.col("nb") - most) * THRESHOLD_PERCENT
-    at = F.array_position("ka", F.col("key")).cast("int")
-    earlier = F.arrays_overlap(F.slice("ka", 1, at - 1), F.slice("kb", 1, at - 1))
-    rest = x.join(y, "key").where(possible & ~earlier).select("a", "b").distinct()
-    more = _links(rest, sets, docs)
+    side = lambda x: rows.select("key", *[F.col(c).alias(f"{n}_{x}") for c, n in (("a", "centre"), ("c", "c"), ("n_shingles", "n"), ("shared", "shared"), ("keys", "keys"), ("regs", "regs"))], F.col("doc_id").alias(x))
+    most = F.least("shared_a", "shared_b")
+    possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.col("centre_a"))
+    possible &= most * 100 >= (F.col("n_a") + F.col("n_b") - most) * THRESHOLD_PERCENT
+    at = F.array_position("keys_a", F.col("key")).cast("int")
+    earlier = F.arrays_overlap(F.slice("keys_a", 1, at - 1), F.slice("keys_b", 1, at - 1))
+    rest = side("a").join(side("b"), "key").where(possible & ~earlier)
+    more = _links(rest.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), docs)
     whole = components(links.unionByName(more))
 
     cls = member.join(whole, member.rep == whole.node, "left").select(
