@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from qaspark.llm.common import materialise
 from qaspark.session import ship_package
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 6_000_000
 # Fixed value: the split pattern of the tokenizer's byte-level step.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same over texts of a few kinds of characters only, which the standard
