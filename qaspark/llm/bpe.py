@@ -23,6 +23,8 @@ equal rows; extra columns are not read.
 from __future__ import annotations
 
 import functools
+import hashlib
+import itertools
 import json
 import os
 import re
@@ -213,11 +215,12 @@ def _encode_bucket(shared):
             flat = unpress.decompress(words)
             held.append(np.fromiter((table[flat[a:b]] for a, b in zip([0, *ends], ends, strict=False)), np.int64, len(ends)))
         distinct = [w.decode("utf-8", "surrogatepass") for w in table]
-        ids = []
-        for start in range(0, len(distinct), 20_000):
-            ids += [e.ids for e in tokenizer.encode_batch(distinct[start : start + 20_000], add_special_tokens=False)]
-        length = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(length.sum()))
+        lengths, ids = [], []
+        for start in range(0, len(distinct), 5_000):
+            found = [e.ids for e in tokenizer.encode_batch(distinct[start : start + 5_000], add_special_tokens=False)]
+            lengths.append(np.array([len(x) for x in found], np.int64))
+            ids.append(np.fromiter(itertools.chain.from_iterable(found), np.int64))
+        length, flat = np.concatenate(lengths), np.concatenate(ids)
         begin = np.cumsum(length) - length
         press, out = zstandard.ZstdCompressor(level=3), []
         for block, codes, words in zip(pdf["block"], pdf["codes"], held, strict=True):
@@ -232,44 +235,71 @@ def _spans(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(length.sum()) + np.repeat(begin - (np.cumsum(length) - length), length)
 
 
-def _place(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-    """A block's documents with the ids of their words in position."""
-    if not len(docs):
-        return pd.DataFrame({"doc_id": [], "ids": []})
+def _ids(docs: pd.DataFrame, words: pd.DataFrame) -> Iterator[np.ndarray]:
+    """The ids of a block's documents: their words' ids in position."""
     unpress = zstandard.ZstdDecompressor()
     parts = [[_unpack(x, unpress) for x in words[c]] for c in ("codes", "lengths", "ids")]
     codes, length, flat = (np.concatenate([np.empty(0, np.int64), *p]) for p in parts)
+    flat = flat.astype(np.int32)
     n = int(docs["n_words"].iloc[0])
     begin_of, length_of = np.full(n, -1), np.zeros(n, np.int64)
     begin_of[codes], length_of[codes] = np.cumsum(length) - length, length
     if n and begin_of.min() < 0:
         raise ValueError("a block's words are incomplete: its rows changed between two reads")
-    flat = flat.astype(np.int32)
-    out = []
     for data in docs["codes"]:
         c = _unpack(data, unpress)
-        out.append(flat[_spans(begin_of[c], length_of[c])])
-    return pd.DataFrame({"doc_id": docs["doc_id"].to_numpy(), "ids": out})
+        yield flat[_spans(begin_of[c], length_of[c])]
 
 
-def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
-    """``doc_id, ids`` for every row. ``stored`` says that ``docs`` is read
-    from files, row order included; other inputs are written first."""
+def _place(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+    if not len(docs):
+        return pd.DataFrame({"doc_id": [], "ids": []})
+    return pd.DataFrame({"doc_id": docs["doc_id"].to_numpy(), "ids": list(_ids(docs, words))})
+
+
+def text_of(ids: list[int], table: list[bytes]) -> str:
+    """Decoded text: ids joined to their pieces."""
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace")
+
+
+def _digest(shared):
+    """Digests of a block's documents, so that only they leave the task."""
+
+    def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        table, rows = shared.value, []
+        if len(docs):
+            for doc_id, found in zip(docs["doc_id"], _ids(docs, words), strict=True):
+                ids = found.tolist()
+                of_ids = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+                rows.append((doc_id, len(ids), of_ids, hashlib.sha256(text_of(ids, table).encode()).hexdigest()))
+        out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        out["doc_id"] = out["doc_id"].astype("Int64")
+        return out
+
+    return run
+
+
+def _by_block(docs: DataFrame, path: str, stored: bool):
+    """Coded documents and encoded words, grouped by block."""
     spark = docs.sparkSession
     ship_package(spark)
-    path = path or default_path()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not stored:
         docs = materialise(docs, "texts")
     with open(path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
     special = _special(path)
-    # as many buckets of distinct words as there are shuffle partitions
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     words = docs.mapInPandas(_words_of(special, buckets), "bucket int, block long, codes binary, lengths binary, words binary")
     encoded = words.groupBy("bucket").applyInPandas(_encode_bucket(shared), "block long, codes binary, lengths binary, ids binary")
     coded = docs.mapInPandas(_documents_of(special), "block long, doc_id long, n_words int, codes binary")
-    return coded.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(_place, "doc_id long, ids array<int>")
+    return coded.groupBy("block").cogroup(encoded.groupBy("block"))
+
+
+def encode(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
+    """``doc_id, ids`` for every row. ``stored`` says that ``docs`` is read
+    from files, row order included; other inputs are written first."""
+    return _by_block(docs, path or default_path(), stored).applyInPandas(_place, "doc_id long, ids array<int>")
 
 
 def pieces(path: str) -> list[bytes]:
@@ -295,17 +325,14 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = shared.value
         for ids in batches:
-            yield pd.Series([b"".join(map(table.__getitem__, x.tolist())).decode("utf-8", "replace") for x in ids], dtype=object)
+            yield pd.Series([text_of(x.tolist(), table) for x in ids], dtype=object)
 
     return encoded.withColumn("decoded", F.pandas_udf(run, "string")("ids"))
 
 
 def digests(docs: DataFrame, path: str | None = None, stored: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row."""
-    done = decode(encode(docs, path, stored), path)
-    return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    path = path or default_path()
+    shared = docs.sparkSession.sparkContext.broadcast(pieces(path))
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _by_block(docs, path, stored).applyInPandas(_digest(shared), schema)
