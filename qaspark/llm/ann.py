@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from qaspark.llm.common import materialise
-from qaspark.session import ship_package
+from qaspark.llm.common import materialise, prepare
 
 K = 20
 QUERY_EVERY = 20
@@ -209,7 +208,7 @@ def nearest(rows: DataFrame, k: int = K, query_every: int = QUERY_EVERY, id_col:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible
     by ``query_every``, the ``k`` other rows of largest inner product."""
     spark = rows.sparkSession
-    ship_package(spark)
+    prepare(spark)
     # adding 0.0 makes -0.0 and 0.0 one value
     v = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))
     ok = rows.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(

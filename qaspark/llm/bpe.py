@@ -39,8 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.llm.common import materialise
-from qaspark.session import ship_package
+from qaspark.llm.common import materialise, prepare
 
 BLOCK_CHARS = 6_000_000
 # Fixed value: the split pattern of the tokenizer's byte-level step.
@@ -282,7 +281,7 @@ def _digest(shared):
 def _by_block(docs: DataFrame, path: str, stored: bool):
     """Coded documents and encoded words, grouped by block."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not stored:
         docs = materialise(docs, "texts")
@@ -319,7 +318,7 @@ def pieces(path: str) -> list[bytes]:
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids``."""
     spark = encoded.sparkSession
-    ship_package(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(pieces(path or default_path()))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

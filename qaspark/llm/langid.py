@@ -30,8 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from qaspark.llm.common import materialise
-from qaspark.session import ship_package
+from qaspark.llm.common import materialise, prepare
 
 UNKNOWN = "und"
 BUCKET_BITS = 16
@@ -129,7 +128,7 @@ def identify(
     """``df`` with ``lang_found``, ``lang_probability`` and ``lang_kept``.
     ``hosts`` names the host's hierarchy from coarse to fine."""
     spark = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     langs, table = model
     k = len(langs)
     shared = spark.sparkContext.broadcast(table)

@@ -37,9 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.llm.common import materialise
+from qaspark.llm.common import materialise, prepare
 from qaspark.llm.graph import components
-from qaspark.session import ship_package
 
 SHINGLE = 5
 BANDS, ROWS = 50, 8
@@ -240,7 +239,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
     kept``. Extra columns of ``docs`` are not read."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketched = materialise(docs.mapInPandas(_sketches, _SKETCH_SCHEMA), "sketches")
     full = sketched.where("n_shingles > 0 and doc_id is not null")

@@ -27,7 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.session import ship_package
+from qaspark.llm.common import prepare
+
 
 DEFAULT_KEY = "qaspark-pseudonym-key"
 ROUNDS = 8
@@ -270,7 +271,7 @@ def _udf(key: str):
 def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY, finds_col: str | None = None) -> DataFrame:
     """``docs`` with the text column's personal data replaced; with
     ``finds_col``, also the number of replaced values by kind."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     run = F.pandas_udf(_udf(key), "text string, finds array<struct<kind:string,n:int>>")
     out = docs.withColumn("_pii", run(F.col(text_col)))
     named = [F.col("_pii.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]

@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from qaspark.session import ship_package
+from qaspark.llm.common import prepare
+
 
 BUCKETS, DIMENSIONS = 1 << 17, 4
 NGRAMS = (3, 4, 5)
@@ -210,7 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
