@@ -15,10 +15,6 @@ from qaspark.functions.replies import _is_object, extract_items, field_text, str
 from qaspark.functions.text import normalize_question, strip_fence
 from qaspark.operators.order import reindex
 
-# Largest ``n`` served by a plain ``orderBy().limit(n)`` (TakeOrderedAndProject
-# keeps ``n`` rows per task); above it the cap filters on a range-built rank.
-TOP_K_LIMIT = 100_000
-
 
 def reply_items(df: DataFrame, raw: str = "raw", keep=("id", "requested_category")) -> DataFrame:
     """One row per reply element (or one row with a null item for a reply
@@ -71,13 +67,17 @@ def reject_reasons(items: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, key: str = "question", order: str = "id", normalize: bool = True) -> DataFrame:
-    """First row per key in ``order`` (W3), as ``min_by`` in a hash
-    aggregate: partial aggregation collapses copies inside each map task,
-    so a key holding a third of the rows ships one row per task."""
+    """First row per key in ``order`` (W3): the smallest ``order`` per digest
+    of the key in a hash aggregate (a key holding a third of the rows ships
+    one slim row per task), then the rows that have it; equal rows count
+    once. A null key is a key of its own."""
     k = normalize_question(key) if normalize else F.col(key)
-    cols = df.columns
-    agg = df.groupBy(k.alias("_qs_key")).agg(F.min_by(F.struct(*cols), F.col(order)).alias("_qs_row"))
-    return agg.select("_qs_row.*")
+    digest = F.coalesce(F.sha2(k.cast("string"), 256), F.lit(""))
+    keyed = df.withColumn("_qs_key", digest)
+    first = keyed.groupBy("_qs_key").agg(F.min(order).alias("_qs_first"))
+    first = first.select(F.col("_qs_key").alias("_qs_k"), "_qs_first")
+    same = (F.col("_qs_key") == F.col("_qs_k")) & F.col(order).eqNullSafe(F.col("_qs_first"))
+    return keyed.join(first, same, "left_semi").dropDuplicates(["_qs_key"]).drop("_qs_key")
 
 
 def new_questions(new: DataFrame, seen: DataFrame, key: str = "question") -> DataFrame:
@@ -88,8 +88,6 @@ def new_questions(new: DataFrame, seen: DataFrame, key: str = "question") -> Dat
 
 def cap_to_target(df: DataFrame, target: int, order: str = "id") -> DataFrame:
     """First ``target`` rows in ``order``."""
-    if target <= TOP_K_LIMIT:
-        return df.orderBy(F.col(order)).limit(target)
     ranked = reindex(df, [order], "_qs_rank")
     return ranked.where(F.col("_qs_rank") <= target).drop("_qs_rank")
 
@@ -103,15 +101,14 @@ def top_up(held: DataFrame, candidates: DataFrame, target: int, key: str = "ques
            order: str = "id") -> DataFrame:
     """Append new, unseen, first-seen candidates to the held corpus until
     ``target`` rows, then renumber ids 1..n (U2 = J2 + W3 + U1 + L5 + W4).
-    Held rows come first; candidates follow in their own order."""
-    fresh = dedupe_first(new_questions(candidates, held, key), key, order)
-    need = target
+    Held rows come first and all stay; candidates follow in their own order."""
+    fresh = cap_to_target(dedupe_first(new_questions(candidates, held, key), key, order), max(0, target - held.count()), order)
     both = merge_batches(
         held.withColumn("_qs_src", F.lit(0)),
         fresh.select(*held.columns).withColumn("_qs_src", F.lit(1)),
     )
-    capped = cap_to_target(both.withColumn("_qs_ord", F.struct("_qs_src", order)), need, "_qs_ord")
-    return reindex(capped.drop(order), ["_qs_ord"], order).drop("_qs_ord", "_qs_src").select(*held.columns)
+    ordered = both.withColumn("_qs_ord", F.struct("_qs_src", order)).drop(order)
+    return reindex(ordered, ["_qs_ord"], order).drop("_qs_ord", "_qs_src").select(*held.columns)
 
 
 def category_counts(df: DataFrame, by: str = "category") -> DataFrame:

@@ -13,7 +13,7 @@ Two paths:
 
 Every score row carries the error of the call gate: a case whose judge
 prompt is estimated above the per-minute token budget can never be sent
-(F17) and fails with ``never_admissible``.
+(F17, ``never_admissible``); scores computed here don't depend on it.
 """
 
 from __future__ import annotations
@@ -99,14 +99,15 @@ def _with_context_text(cases: DataFrame) -> DataFrame:
     return cases.withColumn("context_text", F.coalesce(F.element_at("retrieval_context", 1), F.lit("")))
 
 
-def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGET,
-                max_tokens: int = MAX_TOKENS) -> DataFrame:
+def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Column-scorer path (X1): one row per case and metric,
     ``idx, metric, score, error, estimate``. Each text is tokenised once per
     case; the per-metric rows come from exploding an array of
     ``(metric, raw score, estimate)`` structs (the work list, J5)."""
     c = _with_context_text(cases)
-    specs = [s for s in specs if s.metric_name in _COLUMN_SCORERS]
+    unknown = [s.metric_name for s in specs if s.metric_name not in _COLUMN_SCORERS]
+    if unknown:
+        raise ValueError(f"no column scorer for {unknown}")
     fields = ("input", "actual_output", "expected_output", "context_text")
     feats = c.select(
         "idx",
@@ -123,12 +124,9 @@ def score_cases(cases: DataFrame, specs=LEXICAL_METRICS, budget: int = TPM_BUDGE
         for s in specs
     ])
     work = feats.select("idx", F.explode(entries).alias("w")).select("idx", "w.metric", "w.raw", "w.estimate")
-    error = (
-        F.when(F.col("estimate") > budget, F.lit("never_admissible"))
-        .when(F.col("raw").isNull(), F.lit("no_score"))
-    )
-    return work.select("idx", "metric", F.when(error.isNull(), F.col("raw")).alias("score"), error.alias("error"),
-                       "estimate")
+    # a score that was computed stays, whatever the size of a judge's prompt
+    error = F.when(F.col("raw").isNull(), F.lit("no_score"))
+    return work.select("idx", "metric", F.col("raw").alias("score"), error.alias("error"), "estimate")
 
 
 # --- batch scorers and answerers (mapInPandas) -------------------------------

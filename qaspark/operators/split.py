@@ -41,7 +41,8 @@ def _rank_by_prefix(df: DataFrame, by: str, id_col: str, seed: int) -> DataFrame
     keyed = df.withColumn("_qs_key", seeded_key(id_col, seed)).withColumn("_qs_one", F.lit(1))
     pos = running_sums(keyed, [by, "_qs_key", id_col], {"_qs_pos": "_qs_one"})
     start = pos.groupBy(by).agg(F.min("_qs_pos").alias("_qs_start"))
-    ranked = pos.join(start, by).withColumn("rank", F.col("_qs_pos") - F.col("_qs_start") + 1)
+    start = start.withColumnRenamed(by, "_qs_by")
+    ranked = pos.join(start, pos[by].eqNullSafe(start["_qs_by"])).drop("_qs_by").withColumn("rank", F.col("_qs_pos") - F.col("_qs_start") + 1)
     return ranked.drop("_qs_key", "_qs_one", "_qs_pos", "_qs_start")
 
 
@@ -88,7 +89,9 @@ def split_audit(df: DataFrame, split_df: DataFrame, by: str = "category", quotas
     # every (group, split) pair: explode a literal list of the fixed splits
     names = F.array(*[F.struct(F.lit(n).alias("split"), F.lit(q).cast("long").alias("quota")) for n, q in quotas])
     grid = groups.select(by, F.explode(names).alias("q")).select(by, "q.split", "q.quota")
-    out = grid.join(counts, [by, "split"], "left").select(
+    counts = counts.select(F.col(by).alias("_qs_by"), F.col("split").alias("_qs_split"), "n")
+    same = grid[by].eqNullSafe(counts["_qs_by"]) & (grid["split"] == counts["_qs_split"])
+    out = grid.join(counts, same, "left").select(
         by, "split", "quota", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")
     )
     return out.withColumn("shortfall", (F.col("quota") - F.col("n")).cast("long"))
@@ -105,14 +108,9 @@ def seeded_shuffle(df: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED)
 
 def eval_sample(df: DataFrame, n: int, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """``n`` rows without replacement, all rows if there are fewer (L2).
-    ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: each task keeps
-    its own top ``n``, only those reach the final merge; a large ``n``
-    filters on a range-built rank instead."""
-    from qaspark.operators.corpus import TOP_K_LIMIT
+    The rank is built over ranges, so no task gathers the sample."""
     from qaspark.operators.order import reindex
 
-    if n <= TOP_K_LIMIT:
-        return df.orderBy(seeded_key(id_col, seed), F.col(id_col)).limit(n)
     keyed = df.withColumn("_qs_key", seeded_key(id_col, seed))
     return reindex(keyed, ["_qs_key", id_col], "_qs_rank").where(F.col("_qs_rank") <= n).drop("_qs_key", "_qs_rank")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaspark.operators.order import reindex, with_next
+from qaspark.operators.order import with_next
 from qaspark.sources.tables import load, spread
 
 # The cut-over between the two evaluation runs in score_log,
@@ -22,15 +22,14 @@ def qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q&A rows: each user turn followed by an assistant turn.
     ``id bigint, category string, question string, answer string``."""
     conv = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    nxt = with_next(conv, ["conv_id"], ["turn"], ["role", "text"])
-    pairs = nxt.where((F.col("role") == "user") & (F.col("role_next") == "assistant")).select(
-        "conv_id",
-        "turn",
+    asked = (F.col("role") == "user") & (F.col("role_next") == "assistant")
+    pairs = with_next(conv, ["conv_id"], ["turn"], ["role", "text"], keep=asked, id_col="id")
+    return pairs.select(
+        "id",
         F.concat(F.lit("cat"), (F.col("conv_id") % N_QA_CATEGORIES).cast("string")).alias("category"),
         F.col("text").alias("question"),
         F.col("text_next").alias("answer"),
     )
-    return reindex(pairs, ["conv_id", "turn"], "id").select("id", "category", "question", "answer")
 
 
 def qa_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +37,7 @@ def qa_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(load(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("category"),
-        F.substring("text", 1, 120).alias("question"),
+        F.col("text").alias("question"),
         F.col("text").alias("answer"),
     )
 

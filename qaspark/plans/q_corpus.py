@@ -185,9 +185,10 @@ _TOPUP_TARGET = 600
                  where not exists (select 1 from qa h where {strip('h.question')} = {strip('c.question')})) f
   where rn = 1),
 both_ as (select 0 as src, id, category, question, answer from qa
-          union all select 1, id, category, question, answer from fresh)
-select cast(row_number() over (order by src, id) as bigint) as id, category, question
-from both_ order by src, id limit {_TOPUP_TARGET}""",
+          union all select 1, id, category, question, answer
+          from (select *, row_number() over (order by id) as nth from fresh) n
+          where nth <= {_TOPUP_TARGET} - (select count(*) from qa))
+select cast(row_number() over (order by src, id) as bigint) as id, category, question from both_""",
 )
 def top_up(spark, sf_dir):
     held = D.qa(spark, sf_dir)

@@ -15,16 +15,11 @@ from qaspark.session import scratch_path
 from qaspark.sources import io as IO
 from qaspark.sources.tables import load
 
-CTX_MIN_CHARS = 200
-CTX_CHARS = 300
-
 
 def eval_answers(spark, sf_dir):
-    """Answers over the documents corpus, with a context for every answer of
-    at least 200 characters (its first 300 characters)."""
+    """Answers over the documents corpus; the context is the whole text."""
     ans = D.answers(spark, sf_dir, D.qa_docs(spark, sf_dir), offset=0)
-    ctx = F.when(F.length("expected_answer") >= CTX_MIN_CHARS, F.substring("expected_answer", 1, CTX_CHARS))
-    return ans.withColumn("context", F.coalesce(ctx, F.lit("")))
+    return ans.withColumn("context", F.coalesce("expected_answer", F.lit("")))
 
 
 def _has_context(spark, sf_dir) -> bool:
@@ -44,8 +39,7 @@ def _scores(spark, sf_dir):
 
 EVAL = with_(QA_DOCS, answers_cte("qa_docs", 0, "ans0"), f"""eval as (
   select idx, category, question, expected_answer, generated_answer, finetuned_answer,
-         case when length(expected_answer) >= {CTX_MIN_CHARS} then substring(expected_answer, 1, {CTX_CHARS})
-              else '' end as context
+         coalesce(expected_answer, '') as context
   from ans0)""", """has_ctx as (
   select count_if(context <> '') >= count(*) * cast(0.8 as double) as on_ from eval)""", """cases as (
   select idx, coalesce(question, '') as input, coalesce(generated_answer, '') as actual_output,
@@ -83,8 +77,7 @@ from cases where not {need} or (select on_ from has_ctx)""")
 
 
 SCORES = EVAL + ", " + _metric_sql() + """, scores as (
-  select idx, metric, case when estimate > 4200 then null when raw is null then null else raw end as score,
-         case when estimate > 4200 then 'never_admissible' when raw is null then 'no_score' end as error, estimate
+  select idx, metric, raw as score, case when raw is null then 'no_score' end as error, estimate
   from raw_scores)
 """
 

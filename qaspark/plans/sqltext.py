@@ -30,7 +30,7 @@ QA = """qa as (
   where role = 'user' and next_role = 'assistant')"""
 
 QA_DOCS = """qa_docs as (
-  select doc_id as id, source as category, substring(text, 1, 120) as question, text as answer
+  select doc_id as id, source as category, text as question, text as answer
   from documents)"""
 
 SCORE_LOG = """score_log as (

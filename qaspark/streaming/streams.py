@@ -134,5 +134,5 @@ def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{base}/out", f"{base}/checkpoint"
 
 
-def question_key(text_col: str = "text", n: int = 120):
-    return normalize_question(F.substring(F.col(text_col), 1, n))
+def question_key(text_col: str = "text"):
+    return normalize_question(F.col(text_col))

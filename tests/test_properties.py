@@ -151,14 +151,39 @@ def test_reindex_with_empty_ranges(spark):
     assert got == sorted((i, k + 1) for k, i in enumerate(order))
 
 
-def test_large_n_paths_equal_top_k(spark, monkeypatch):
+def test_cap_and_sample(spark):
     rows = [(i, f"g{i % 4}") for i in range(300)]
     df = spark.createDataFrame(rows, "id long, category string")
-    small_cap = sorted(r["id"] for r in C.cap_to_target(df, 120).collect())
-    small_sample = sorted(r["id"] for r in S.eval_sample(df, 50).collect())
-    monkeypatch.setattr(C, "TOP_K_LIMIT", 10)
-    assert sorted(r["id"] for r in C.cap_to_target(df, 120).collect()) == small_cap == list(range(120))
-    assert sorted(r["id"] for r in S.eval_sample(df, 50).collect()) == small_sample
+    assert sorted(r["id"] for r in C.cap_to_target(df, 120).collect()) == list(range(120))
+    assert len({r["id"] for r in S.eval_sample(df, 50).collect()}) == 50
+    assert S.eval_sample(df, 400).count() == 300
+
+
+def test_null_group_is_split_and_audited(spark):
+    rows = [(i, None if i % 3 == 0 else f"g{i % 3}") for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, category string")
+    got = S.stratified_split(df)
+    assert got.where("category is null").count() == 20
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "5")
+    try:
+        assert sorted(r["id"] for r in S.stratified_split(df).collect()) == sorted(r["id"] for r in got.collect())
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    audit = S.split_audit(df, got).where("category is null").collect()
+    assert sum(r["n"] for r in audit) == 20
+
+
+def test_running_sums_keep_fractions_and_nulls(spark):
+    df = spark.createDataFrame([(1, None), (2, 0.5), (3, 0.5), (4, None), (5, 0.5)], "id long, v double")
+    got = [r["s"] for r in running_sums(df, ["id"], {"s": "v"}, num_ranges=3).orderBy("id").collect()]
+    assert got == [0.0, 0.5, 1.0, 1.0, 1.5]
+
+
+def test_top_up_keeps_all_held_rows(spark):
+    schema = "id long, category string, question string, answer string"
+    held = spark.createDataFrame([(i, "a", f"q{i}", "x") for i in range(6)], schema)
+    out = C.top_up(held, spark.createDataFrame([(9, "b", "new", "y")], schema), 4)
+    assert sorted(r["question"] for r in out.collect()) == [f"q{i}" for i in range(6)]
 
 
 def test_top_up_equals_brute_force(spark):
