@@ -71,7 +71,7 @@ class _WordHashes(dict):
     """Word -> 64-bit hash, emptied when it grows past a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 50_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -198,8 +198,8 @@ def _shingles(batches):
     for pdf in batches:
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             s = shingle_hashes(text, known)
-            if len(s):
-                yield pd.DataFrame({"doc_id": doc_id, "s": s.view(np.int64)})
+            for part in np.split(s.view(np.int64), range(10_000, len(s), 10_000)):
+                yield pd.DataFrame({"doc_id": doc_id, "s": part})
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:

@@ -169,7 +169,7 @@ class _WordScores(dict):
         self._scores = scores
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 400_000:
+        if len(self) > 50_000:
             self.clear()
         s = self[word] = float(self._scores[word_ngrams(word)].mean())
         return s
