@@ -34,7 +34,8 @@ def test_dedupe_is_a_partial_aggregate(spark):
 def test_running_sums_have_no_single_partition(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     out = running_sums(ev, ["ts", "event_id"], {"s": "user_id"})
-    assert "SinglePartition" not in _plan(out)
+    # only the table of one row per range is ordered in one task
+    assert _plan.count("SinglePartition") <= 1 and "BroadcastHashJoin" in _plan
     ranged = ev.repartitionByRange(4, "ts", "event_id")
     assert "rangepartitioning" in _plan(ranged)
 
