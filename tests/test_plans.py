@@ -35,7 +35,7 @@ def test_running_sums_have_no_single_partition(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     out = running_sums(ev, ["ts", "event_id"], {"s": "user_id"})
     # only the table of one row per range is ordered in one task
-    assert _plan.count("SinglePartition") <= 1 and "BroadcastHashJoin" in _plan
+    assert _plan(out).count("SinglePartition") <= 1 and "BroadcastHashJoin" in _plan(out)
     ranged = ev.repartitionByRange(4, "ts", "event_id")
     assert "rangepartitioning" in _plan(ranged)
 
