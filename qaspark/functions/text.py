@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, NumericType, StringType, StructType
 
 # Whitespace removed by a plain Python ``str.strip()``: every code point for
 # which ``str.isspace()`` holds (29 characters). Spark's and DuckDB's one-
@@ -42,14 +42,25 @@ def prefix(c, n: int) -> Column:
     return F.substring(_c(c), 1, n)
 
 
+def _py_true(x: Column, dtype) -> Column:
+    """Truth of a list item: not null, empty, zero or false."""
+    if isinstance(dtype, BooleanType):
+        return F.coalesce(x, F.lit(False))
+    if isinstance(dtype, NumericType):
+        return F.coalesce(x != 0, F.lit(False))
+    return x.isNotNull() & (x.cast("string") != F.lit(""))
+
+
 def to_text(c, dtype=None) -> Column:
-    """``to_str`` (F3): null -> "", string as is, list -> its non-empty items,
-    each stripped, joined by newlines."""
+    """``to_str`` (F3): null -> "", string as is, list -> its items that are
+    true (not null, empty, zero or false), each stripped, joined by
+    newlines. Pass the column's type as ``dtype`` for lists and booleans."""
     c = _c(c)
     if isinstance(dtype, ArrayType):
-        kept = F.filter(c, lambda x: x.isNotNull() & (x.cast("string") != F.lit("")))
-        return F.coalesce(F.array_join(F.transform(kept, lambda x: strip_ws(x.cast("string"))), "\n"), F.lit(""))
-    return F.coalesce(c.cast("string"), F.lit(""))
+        kept = F.filter(c, lambda x: _py_true(x, dtype.elementType))
+        shown = F.transform(kept, lambda x: strip_ws(_py_str(x, dtype.elementType)))
+        return F.coalesce(F.array_join(shown, "\n"), F.lit(""))
+    return F.coalesce(_py_str(c, dtype), F.lit(""))
 
 
 def _py_str(x: Column, dtype) -> Column:

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qaspark.functions.text import to_text
+
 # Column-name candidates, in priority order.
 Q_CANDIDATES = ("question", "input", "query", "prompt", "instruction")
 A_CANDIDATES = ("answer", "expected_answer", "output", "response", "completion")
@@ -46,10 +48,15 @@ def detect_columns(df: DataFrame, order: str | None = None, q_candidates=Q_CANDI
     return pick(q_candidates), pick(a_candidates), pick(c_candidates)
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """One column as case text; list items become lines."""
+    return to_text(F.col(name), df.schema[name].dataType)
+
+
 def answer_rows(df: DataFrame, q_key: str, a_key: str, c_key: str | None, generated: str = "generated_answer",
                 idx: str = "idx") -> DataFrame:
     """Answer rows under fixed names (P11); context defaults to ""."""
-    ctx = F.coalesce(F.col(c_key).cast("string"), F.lit("")) if c_key else F.lit("")
+    ctx = _text(df, c_key) if c_key else F.lit("")
     return df.select(
         F.col(idx).alias("idx"),
         F.col(q_key).alias("question"),
@@ -120,13 +127,13 @@ def active_metrics(specs, has_context: bool):
 def test_cases(answers: DataFrame, has_context: bool, generated: str = "generated_answer") -> DataFrame:
     """Cases (F21, F22): input, actual and expected output, and the context
     as a one-element list, or null when contexts are off or empty."""
-    ctx = F.coalesce(F.col("context"), F.lit(""))
+    ctx = _text(answers, "context")
     retrieval = F.when(F.lit(has_context) & (ctx != ""), F.array(ctx))
     return answers.select(
         "idx",
-        F.coalesce(F.col("question").cast("string"), F.lit("")).alias("input"),
-        F.coalesce(F.col(generated).cast("string"), F.lit("")).alias("actual_output"),
-        F.coalesce(F.col("expected_answer").cast("string"), F.lit("")).alias("expected_output"),
+        _text(answers, "question").alias("input"),
+        _text(answers, generated).alias("actual_output"),
+        _text(answers, "expected_answer").alias("expected_output"),
         retrieval.alias("retrieval_context"),
     )
 

@@ -160,23 +160,31 @@ class TokenRecallBatchScorer:
 
 def score_with(worklist: DataFrame, scorer_factory: Callable[[], object]) -> DataFrame:
     """Batch path (X1 + X2): ``idx, metric, score, error``. The scorer is
-    created once per task; an exception in a batch marks every row of that
-    batch as failed instead of failing the task."""
+    created once per task and sees the case's fields, the context too if
+    ``worklist`` has one. If it fails on a batch, the rows are scored one by
+    one, so that only those that fail carry an error and no score."""
+    cols = ["idx", "metric", "input", "actual_output", "expected_output"]
+    cols += [c for c in ("retrieval_context",) if c in worklist.columns]
+
+    def scored(scorer, pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            res = scorer.score_batch(pdf)
+            if len(res) != len(pdf):
+                raise ValueError(f"{len(res)} scores for {len(pdf)} cases")
+            score, error = res["score"], res["error"]
+        except Exception as e:  # noqa: BLE001 - a failure is data here
+            if len(pdf) > 1:
+                return pd.concat([scored(scorer, pdf.iloc[i : i + 1]) for i in range(len(pdf))], ignore_index=True)
+            score, error = [None] * len(pdf), [f"{type(e).__name__}: {e}"] * len(pdf)
+        return pd.DataFrame({"idx": pdf["idx"].values, "metric": pdf["metric"].values,
+                             "score": pd.array(score, dtype="Float64"), "error": list(error)})
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         scorer = scorer_factory()
         for pdf in batches:
-            try:
-                res = scorer.score_batch(pdf)
-                score, error = res["score"], res["error"]
-            except Exception as e:  # noqa: BLE001 - a failure is data here
-                score = pd.Series([None] * len(pdf), dtype="Float64")
-                error = pd.Series([f"{type(e).__name__}: {e}"[:200]] * len(pdf))
-            yield pd.DataFrame({"idx": pdf["idx"].values, "metric": pdf["metric"].values,
-                                "score": pd.array(score, dtype="Float64"), "error": list(error)})
+            yield scored(scorer, pdf)
 
     ship_package(worklist.sparkSession)
-    cols = ["idx", "metric", "input", "actual_output", "expected_output"]
     return worklist.select(*cols).mapInPandas(run, "idx long, metric string, score double, error string")
 
 

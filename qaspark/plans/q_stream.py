@@ -21,7 +21,7 @@ def stream_dedupe(spark, sf_dir):
     """First-seen dedupe as documents arrive (document ``i`` at second
     ``i``): the first half arrives, the stream stops, the second half
     arrives and the stream resumes; copies across the stop are still
-    dropped from state."""
+    left out."""
     base = scratch_path(spark, "stream-dedupe")
     src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
     docs = load(spark, sf_dir, "documents").select(
@@ -30,7 +30,7 @@ def stream_dedupe(spark, sf_dir):
     for part in (F.col("doc_id") <= half, F.col("doc_id") > half):
         docs.where(part).write.mode("append").parquet(src)
         arrivals = ST.file_stream(spark, src, docs.schema)
-        ST.run_to_parquet(ST.dedupe_stream(arrivals, ST.question_key()).select("question_key", "ts"), out, ckpt)
+        ST.dedupe_stream(arrivals, ST.question_key(), ["doc_id"], out, ckpt)
     return spark.read.parquet(out).select("question_key")
 
 
@@ -87,7 +87,7 @@ def stream_metrics(spark, sf_dir):
         ev.where(part).write.mode("append").parquet(src)
         scores = _score_stream(ST.file_stream(spark, src, ev.schema))
         ST.run_to_parquet(ST.metrics_stream(scores), out, ckpt, mode="complete")
-    return spark.read.parquet(out)
+    return ST.latest_batch(spark.read.parquet(out))
 
 
 @register(
@@ -144,7 +144,7 @@ def stream_stall(spark, sf_dir):
         ev.where(part).write.mode("append").parquet(src)
         stream = ST.file_stream(spark, src, ev.schema)
         rounds = stream.select("user_id", "ts", "event_id", (F.col("event_type") == "error").alias("empty"))
-        ST.run_to_parquet(ST.stall_stream(rounds, STALL_AFTER), out, ckpt, mode="update")
+        ST.stall_stream(rounds, ["ts", "event_id"], out, ckpt, stall_after=STALL_AFTER)
     return ST.latest_per_key(spark.read.parquet(out), "user_id")
 
 

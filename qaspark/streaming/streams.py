@@ -2,21 +2,20 @@
 
 Every job runs with a checkpoint location in the shared folder, so a
 restart resumes where the last committed batch ended; sinks are Parquet
-folders (file sink, exactly once) or ``foreachBatch`` writers. Nothing is
+folders (file sink) or one folder per batch. Nothing is
 collected to the driver: results are read back from the sink.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from qaspark.functions.text import normalize_question
-from qaspark.session import scratch_path, ship_package
+from qaspark.operators.order import running_sums
 
 
 def file_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None,
@@ -31,41 +30,68 @@ def file_stream(spark: SparkSession, path: str, schema=None, max_files: int | No
     return reader.load(path)
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """One supplied table as a stream source (glob ``name[s].parquet``)."""
-    glob = f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet"
-    return file_stream(spark, glob, max_files=max_files)
-
-
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> object:
     """Run a stream over everything available now and stop. ``append``
-    writes through the file sink; ``complete`` replaces the folder with the
-    full result each batch; ``update`` appends each batch's changed rows
-    tagged with ``batch_id`` (a replayed batch rewrites equal rows, so
-    ``latest_per_key`` stays right)."""
+    writes through the file sink; ``update`` and ``complete`` write each
+    batch's rows to a folder of its own (see ``run_batches``): read
+    ``update`` with ``latest_per_key``, ``complete`` with ``latest_batch``."""
+    if mode != "append":
+        return run_batches(df, lambda batch, epoch: batch, out, checkpoint, mode)
+    w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    q = w.format("parquet").option("path", out).start()
+    q.awaitTermination()
+    return q
+
+
+def run_batches(df: DataFrame, step: Callable[[DataFrame, int], DataFrame], out: str, checkpoint: str,
+                mode: str = "append") -> object:
+    """Run a stream over everything available now; ``step(batch, epoch)``
+    gives the rows of a batch, written to ``out/batch_id=<epoch>``. A batch
+    that is run again after a failure overwrites its own folder, so the
+    sink never holds a batch twice, and earlier batches stay readable.
+    ``checkpoint`` and ``out`` belong together."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        step(batch, epoch).write.mode("overwrite").parquet(f"{out}/batch_id={epoch}")
+
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode(mode)
-    if mode == "append":
-        q = w.format("parquet").option("path", out).start()
-    else:
-        def write(batch: DataFrame, epoch: int) -> None:
-            if mode == "complete":
-                batch.write.mode("overwrite").parquet(out)
-            else:
-                batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("append").parquet(out)
-
-        q = w.foreachBatch(write).start()
+    q = w.foreachBatch(write).start()
     q.awaitTermination()
     return q
 
 
+def earlier_batches(spark: SparkSession, out: str, epoch: int, schema) -> DataFrame:
+    """Rows of the sink's batches before ``epoch`` (a batch run again must
+    not see its own earlier output)."""
+    if epoch == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(out).where(F.col("batch_id") < epoch).select(*schema.names)
+
+
+def latest_batch(rows: DataFrame) -> DataFrame:
+    """The newest result of a complete-mode sink."""
+    newest = rows.agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(newest, "batch_id").drop("batch_id")
+
+
 # --- T1 ------------------------------------------------------------------------
 
-def dedupe_stream(replies: DataFrame, key, event_time: str = "ts", delay: str = "1 day") -> DataFrame:
-    """First-seen dedupe of an incoming stream (T1): a key seen again within
-    the watermark delay is dropped; state older than the watermark is
-    evicted, so it stays bounded."""
-    keyed = replies.withColumn("question_key", key)
-    return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["question_key"])
+def dedupe_stream(replies: DataFrame, key, order, out: str, checkpoint: str) -> object:
+    """First-seen dedupe of an incoming stream (T1). In a batch the row that
+    is first by ``order`` stays for each key, then keys of earlier batches
+    are left out, however old they are. The seen-set is the sink itself;
+    keys are compared as digests, and whole rows are written to ``out`` with
+    ``question_key``. Rows without a key are not written; ``order`` should be unique."""
+    spark = replies.sparkSession
+
+    def step(batch: DataFrame, epoch: int) -> DataFrame:
+        keyed = batch.withColumn("question_key", key).where("question_key is not null")
+        keyed = keyed.withColumn("_digest", F.sha2("question_key", 256)).withColumn("_order", F.struct(*order))
+        held = earlier_batches(spark, out, epoch, keyed.drop("_digest", "_order").schema)
+        first = keyed.groupBy("_digest").agg(F.min("_order").alias("_order"))
+        fresh = first.join(held.select(F.sha2("question_key", 256).alias("_digest")), "_digest", "left_anti")
+        return keyed.join(fresh, ["_digest", "_order"], "left_semi").drop("_digest", "_order")
+
+    return run_batches(replies, step, out, checkpoint)
 
 
 # --- T2 / T3 -----------------------------------------------------------------------
@@ -91,25 +117,6 @@ def metrics_stream(scores: DataFrame, threshold: float = 0.7, by=("run", "metric
 
 # --- T5 ------------------------------------------------------------------------------
 
-STALL_OUTPUT = "user_id long, longest long, current long, stalled boolean"
-STALL_STATE = "longest long, current long"
-
-
-def _stall_fn(stall_after: int):
-    def update(key, pdfs: Iterable[pd.DataFrame], state: GroupState):
-        longest, current = state.get if state.exists else (0, 0)
-        # rows of one key in one micro-batch: bounded by the trigger size
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"], kind="stable")
-        for empty in batch["empty"].tolist():
-            current = current + 1 if empty else 0
-            longest = max(longest, current)
-        state.update((int(longest), int(current)))
-        yield pd.DataFrame({"user_id": [key[0]], "longest": [longest], "current": [current],
-                            "stalled": [longest >= stall_after]})
-
-    return update
-
-
 def latest_per_key(updates: DataFrame, key: str = "user_id") -> DataFrame:
     """Current value per key from an update-mode sink: the row of the last
     batch that touched the key (a partial ``max_by`` aggregate)."""
@@ -118,21 +125,50 @@ def latest_per_key(updates: DataFrame, key: str = "user_id") -> DataFrame:
     return last.select(key, *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
-def stall_stream(rounds: DataFrame, stall_after: int = 80) -> DataFrame:
-    """Current and longest run of empty rounds per key, kept as state across
-    batches (T5)."""
-    ship_package(rounds.sparkSession)
-    return rounds.groupBy("user_id").applyInPandasWithState(
-        _stall_fn(stall_after), STALL_OUTPUT, STALL_STATE, "update", GroupStateTimeout.NoTimeout)
+def batch_streaks(rounds: DataFrame, key: str, order: list) -> DataFrame:
+    """Streaks of empty rounds of one batch, per key: ``n`` rounds, the
+    streak it opens with (``head``), the one it ends with (``tail``) and its
+    longest. Islands are numbered by a running sum over ranges, so rounds of
+    one hot key are spread over many tasks; the rest is aggregation."""
+    flagged = rounds.select(key, *order, "empty", F.when(F.col("empty"), 0).otherwise(1).alias("_ne"))
+    runs = running_sums(flagged, [key, *order], {"_island": "_ne"}).groupBy(key, "_island").agg(
+        F.count_if("empty").alias("_len"), F.count(F.lit(1)).alias("_rows"))
+    # an island opens with its non-empty round, but for a key's first rounds
+    opens = F.min_by(F.struct("_len", "_rows"), "_island")
+    return runs.groupBy(key).agg(
+        F.sum("_rows").alias("n"),
+        opens.alias("_first"),
+        F.max_by("_len", "_island").alias("tail"),
+        F.max("_len").alias("longest"),
+    ).select(key, "n", F.when(F.col("_first._len") == F.col("_first._rows"), F.col("_first._len")).otherwise(F.lit(0)).alias("head"),
+             "tail", "longest")
+
+
+def stall_stream(rounds: DataFrame, order: list, out: str, checkpoint: str, key: str = "user_id",
+                 stall_after: int = 80) -> object:
+    """Current and longest run of empty rounds per key (T5), written for the
+    keys of each batch; read with ``latest_per_key``. A batch's streaks are
+    joined to the key's last row in earlier batches: an open streak goes on
+    through the batch's head. Batches follow each other in ``order``."""
+    spark = rounds.sparkSession
+
+    def step(batch: DataFrame, epoch: int) -> DataFrame:
+        now = batch_streaks(batch, key, order)
+        schema = StructType([batch.schema[key], StructField("longest", LongType()), StructField("current", LongType())])
+        held = earlier_batches(spark, out, epoch, schema)
+        if epoch:
+            held = latest_per_key(spark.read.parquet(out).where(F.col("batch_id") < epoch).select(key, "longest", "current", "batch_id"), key)
+        held = held.select(F.col(key).alias("_key"), F.col("longest").alias("_longest"), F.col("current").alias("_current"))
+        joined = now.join(held, F.col(key).eqNullSafe(F.col("_key")), "left")
+        before = F.coalesce("_current", F.lit(0))
+        current = F.when(F.col("head") == F.col("n"), before + F.col("n")).otherwise(F.col("tail"))
+        longest = F.greatest(F.coalesce("_longest", F.lit(0)), before + F.col("head"), F.col("longest"))
+        return joined.select(key, longest.alias("longest"), current.alias("current"), (longest >= stall_after).alias("stalled"))
+
+    return run_batches(rounds, step, out, checkpoint)
 
 
 # --- helpers for the registered queries -------------------------------------------
 
-def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
-    """Fresh (sink, checkpoint) folders under the shared checkpoint folder."""
-    base = scratch_path(spark, name)
-    return f"{base}/out", f"{base}/checkpoint"
-
-
 def question_key(text_col: str = "text"):
     return normalize_question(F.col(text_col))
