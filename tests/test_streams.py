@@ -1,6 +1,15 @@
 """Stream behaviour beyond the oracle rows: late rows and restarts."""
 
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from qaspark.operators import cases as K
+from qaspark.operators import score as SC
+from qaspark.session import scratch_path
+from qaspark.streaming import streams as ST
 from tests.conftest import SF_SMALL
 
 
@@ -16,3 +25,62 @@ def test_late_rows_are_dropped(spark):
 def test_resume_counts_every_row_once(spark):
     got = E.queries()["stream_resume"](spark, SF_SMALL)
     assert got.agg({"n": "sum"}).collect()[0][0] == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def _arrive(spark, base, parts, schema, job):
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+        job(ST.file_stream(spark, f"{base}/src", spark.createDataFrame([], schema).schema), f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out")
+
+
+def test_a_key_repeated_long_after_stays_dropped(spark):
+    day = 86400
+    rows = [(i, i * day, "k" + str(i % 7) if i % 11 else None, f"row {i}") for i in range(60)]
+    schema = "doc_id long, at long, k string, payload string"
+    job = lambda s, out, ckpt: ST.dedupe_stream(s, F.col("k"), ["doc_id"], out, ckpt)
+    got = _arrive(spark, scratch_path(spark, "t-dedupe"), [rows[:25], rows[25:30], rows[30:]], schema, job)
+    first = {}
+    for i, _, k, payload in rows:
+        if k is not None:
+            first.setdefault(k, (i, payload))
+    assert {r["question_key"]: (r["doc_id"], r["payload"]) for r in got.collect()} == first
+    assert got.count() == len(first)
+
+
+def test_streaks_across_batches_equal_a_loop(spark):
+    rng = random.Random(5)
+    # one key holds most rows; another is empty all the time
+    rows = [(1 if rng.random() < 0.7 else rng.randrange(2, 6), t) for t in range(300)]
+    rows = [(u, t, u == 5 or rng.random() < 0.6) for u, t in rows]
+    want = {}
+    for u, _, empty in rows:
+        longest, current = want.get(u, (0, 0))
+        current = current + 1 if empty else 0
+        want[u] = (max(longest, current), current)
+    job = lambda s, out, ckpt: ST.stall_stream(s, ["t"], out, ckpt, stall_after=4)
+    parts = [rows[:100], rows[100:110], rows[110:]]
+    got = ST.latest_per_key(_arrive(spark, scratch_path(spark, "t-stall"), parts, "user_id long, t long, empty boolean", job)).collect()
+    assert {r["user_id"]: (r["longest"], r["current"]) for r in got} == want
+    assert all(r["stalled"] == (r["longest"] >= 4) for r in got)
+
+
+def test_one_failing_case_and_list_fields(spark):
+    class Picky:  # local, so that it travels to the workers by value
+        def score_batch(self, pdf):
+            if (pdf["input"] == "bad").any():
+                raise RuntimeError("x" * 300)
+            n = [len(c) if c is not None else 0 for c in pdf["retrieval_context"]]
+            return pd.DataFrame({"score": [float(x) for x in n], "error": [None] * len(pdf)})
+
+    answers = spark.createDataFrame(
+        [(1, ["a ", "", None, "b"], "x", "y", ["c", " d"]), (2, ["bad"], "x", "y", None)],
+        "idx long, question array<string>, generated_answer string, expected_answer string, context array<string>",
+    )
+    cases = K.test_cases(answers, True)
+    got = {r["idx"]: r for r in cases.collect()}
+    assert got[1]["input"] == "a\nb" and got[1]["retrieval_context"] == ["c\nd"] and got[2]["retrieval_context"] is None
+    work = cases.coalesce(1).withColumn("metric", F.lit("m"))
+    rows = {r["idx"]: r for r in SC.score_with(work, Picky).collect()}
+    assert rows[1]["score"] == 1.0 and rows[1]["error"] is None
+    assert rows[2]["score"] is None and rows[2]["error"] == "RuntimeError: " + "x" * 300
