@@ -11,7 +11,7 @@ Jaccard similarity, whatever the size of the sets.
 Bands of ``ROWS`` registers are hashed to keys. In a group of documents with
 one key, the smallest is compared with each of the others (a star, not all
 pairs); a second step takes only those members of a group that lie in
-different components after the first, each pair at the first key it shares.
+different components after the first, each pair at the first band it shares.
 In crowded groups it also leaves out pairs that can't be links, by an exact
 bound: shingles that no other document of those groups has are in no common
 part. A pair is first held against the collision-corrected Jaccard estimate
@@ -34,7 +34,7 @@ import functools
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.llm.common import materialise, prepare
@@ -202,6 +202,11 @@ def _shingles(batches):
                 yield pd.DataFrame({"doc_id": doc_id, "s": part})
 
 
+def _band(regs: str, i: Column) -> Column:
+    """The registers of band ``i``."""
+    return F.substring(F.col(regs), i * (2 * ROWS) + 1, F.lit(2 * ROWS))
+
+
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` with the given distinct ids."""
     small = ids.count() <= BROADCAST_IDS
@@ -249,34 +254,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         full.join(smallest, ["h1", "h2"]).where("doc_id = rep").select("doc_id", "n_shingles", "regs").distinct(), "sets"
     )
 
-    width = 2 * ROWS
-    keys = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring(F.col("regs"), i * width + 1, F.lit(width))),
-    )
-    bands = sets.select("doc_id", F.explode(keys).alias("key"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, _band("regs", i)))
+    bands = sets.select("doc_id", F.posexplode(keys).alias("band", "key"))
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    grouped = materialise(bands.join(centres, "key").select("key", "a", "doc_id", "n"), "groups")
+    grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id", "n"), "groups")
     stars = grouped.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     links = _links(_with_registers(stars, sets), docs)
     first = components(links)
 
     labelled = grouped.join(first, grouped.doc_id == first.node, "left").select(
-        "key", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
+        "key", "band", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
     )
     mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     left = materialise(labelled.join(mixed, "key"), "mixed")
     crowd = materialise(left.where(F.col("n") > CROWDED).select("doc_id").distinct(), "crowd")
     own = materialise(_own_shingles(docs, crowd), "own")
-    size = sets.withColumn("keys", keys).join(left.select("doc_id").distinct(), "doc_id", "left_semi")
-    size = materialise(size.join(own, "doc_id", "left"), "sizes")
+    size = sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi").join(own, "doc_id", "left")
+    size = materialise(size, "sizes")
     rows = left.join(size, "doc_id").withColumn("shared", F.col("n_shingles") - F.when(F.col("n") > CROWDED, F.coalesce("own", F.lit(0))).otherwise(0))
-    side = lambda x: rows.select("key", *[F.col(c).alias(f"{n}_{x}") for c, n in (("a", "centre"), ("c", "c"), ("n_shingles", "n"), ("shared", "shared"), ("keys", "keys"), ("regs", "regs"))], F.col("doc_id").alias(x))
+    # both sides have the same columns and no filter of their own, so that one
+    # shuffle serves both
+    names = (("doc_id", ""), ("a", "centre_"), ("c", "c_"), ("band", "band_"), ("n_shingles", "n_"), ("shared", "shared_"), ("regs", "regs_"))
+    side = lambda x: rows.select("key", *[F.col(c).alias(n + x) for c, n in names])
     most = F.least("shared_a", "shared_b")
-    possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.col("centre_a"))
+    possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.least("centre_a", "centre_b"))
     possible &= most * 100 >= (F.col("n_a") + F.col("n_b") - most) * THRESHOLD_PERCENT
-    at = F.array_position("keys_a", F.col("key")).cast("int")
-    earlier = F.arrays_overlap(F.slice("keys_a", 1, at - 1), F.slice("keys_b", 1, at - 1))
+    before = F.slice(F.sequence(F.lit(0), F.lit(BANDS - 1)), 1, F.least("band_a", "band_b"))
+    earlier = F.exists(before, lambda i: _band("regs_a", i) == _band("regs_b", i))
     rest = side("a").join(side("b"), "key").where(possible & ~earlier)
     more = _links(rest.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), docs)
     whole = components(links.unionByName(more))
