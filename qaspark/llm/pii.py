@@ -36,6 +36,14 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 _HEX_LOWER, _HEX_UPPER = _DIGITS + "abcdef", _DIGITS + "ABCDEF"
 
 
+def _round_value(right: bytes, i: int, key: bytes) -> bytes:
+    """Keyed pseudo-random bytes of one round, at least as many as ``right``
+    has: above 64, the most a BLAKE2b digest has, a digest of any length."""
+    if len(right) <= 64:
+        return hashlib.blake2b(right + bytes([i]), key=key, digest_size=min(64, len(right) + 8)).digest()
+    return hashlib.shake_256(key + bytes([i]) + right).digest(len(right) + 8)
+
+
 def permute(value: int, size: int, key: bytes, valid: Callable[[int], bool] = lambda _: True) -> int:
     """Keyed permutation of the valid numbers below ``size``: a balanced
     Feistel network over the next even number of bits, walked until the
@@ -46,8 +54,7 @@ def permute(value: int, size: int, key: bytes, valid: Callable[[int], bool] = la
     while True:
         left, right = value >> half, value & mask
         for i in range(ROUNDS):
-            digest = hashlib.blake2b(right.to_bytes(width, "big") + bytes([i]), key=key, digest_size=min(64, width + 8)).digest()
-            left, right = right, left ^ (int.from_bytes(digest, "big") & mask)
+            left, right = right, left ^ (int.from_bytes(_round_value(right.to_bytes(width, "big"), i, key), "big") & mask)
         value = (left << half) | right
         if value < size and valid(value):
             return value

@@ -124,6 +124,21 @@ def test_permutation_is_one_to_one():
         assert sorted(pii.permute(i, size, b"k") for i in range(size)) == list(range(size))
 
 
+def test_long_secrets_keep_no_runs():
+    rng = random.Random(11)
+    names = pii.Pseudonyms("k")
+    for n, alphabet in ((257, "0123456789abcdef"), (2000, "0123456789abcdef"), (2000, "0123456789"), (2000, "abcXYZ0189+/_-")):
+        secret = "".join(rng.choice(alphabet) for _ in range(n))
+        secrets = [secret, secret[:-1] + ("1" if secret[-1] == "0" else "0"), ("1" if secret[0] == "0" else "0") + secret[1:]]
+        outs = [names.replace(f'token = "{s}"')[0].split('"')[1] for s in secrets]
+        assert len(set(outs)) == len(set(secrets)) and all(map(len, outs))
+        for x, y in [*zip(secrets, outs), (outs[0], outs[1]), (outs[0], outs[2])]:
+            assert len(x) == len(y) == n
+            # separators stay and may lie side by side with equal characters
+            same = "".join("=" if a == b else "#" for a, b in zip(x, y) if a.isalnum())
+            assert max(map(len, same.split("#"))) < 12 and same.count("=") < len(same) / 4
+
+
 def test_language_from_text_and_other_evidence(spark):
     rng = random.Random(4)
     words = {"en": "the and of thing other", "de": "der und nicht schön über", "fr": "le été où très que"}
