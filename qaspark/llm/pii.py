@@ -9,6 +9,11 @@ the result is valid in the same way. Equal values thus get equal pseudonyms
 in every document, different values different ones, and separators, length
 and validity stay.
 
+Dates in figures are read month first with a slash and day first with other
+separators; if that's no date, the other way round (25/12/1990, 12-25-1990).
+One day has one pseudonym in all styles of the first reading; dates of the
+other reading are a format of their own and aren't linked with them.
+
 Defined cases: null and empty texts stay as they are; a text without a find
 is returned unchanged; columns other than the text are not touched.
 """
@@ -170,21 +175,34 @@ def _iban(m: re.Match, key: bytes) -> str | None:
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
+def _is_date(year: int, month: int, day: int) -> bool:
+    return 1900 <= year <= 2099 and 1 <= month <= 12 and 1 <= day <= calendar.monthrange(year, month)[1]
+
+
 def _date(m: re.Match, key: bytes) -> str | None:
+    """Year first; else month first with a slash, day first with other
+    separators, and the other way round if that's no date. Dates read the
+    other way round, whose day is over 12, are permuted among themselves, so
+    that no result can be read as one of the first reading."""
     text = m.group()
     a, sep, b, c = re.fullmatch(r"(\d+)([-/.])(\d+)[-/.](\d+)", text).groups()
-    day_first = len(a) == 2
-    year, month, day = (int(c), int(b), int(a)) if day_first else (int(a), int(b), int(c))
-    swapped = day_first and sep == "/"  # month first in this style
-    if swapped:
-        month, day = day, month
-    if not (1900 <= year <= 2099 and 1 <= month <= 12 and 1 <= day <= calendar.monthrange(year, month)[1]):
+    year_first, month_first, other = len(a) == 4, sep == "/", False
+    if year_first:
+        year, month, day = int(a), int(b), int(c)
+    else:
+        year, month, day = (int(c), int(a), int(b)) if month_first else (int(c), int(b), int(a))
+        if not _is_date(year, month, day):
+            month, day, month_first, other = day, month, not month_first, True
+    if not _is_date(year, month, day):
         return None
     n = datetime.date(year, month, day).toordinal() - _FIRST
-    new = datetime.date.fromordinal(_FIRST + permute(n, _LAST - _FIRST + 1, hashlib.blake2b(b"date", key=key, digest_size=32).digest()))
-    if swapped:
-        return f"{new.month:02d}/{new.day:02d}/{new.year}"
-    return f"{new.day:02d}{sep}{new.month:02d}{sep}{new.year}" if day_first else f"{new.year}{sep}{new.month:02d}{sep}{new.day:02d}"
+    valid = lambda n: not other or datetime.date.fromordinal(_FIRST + n).day > 12
+    salted = hashlib.blake2b(b"date over 12" if other else b"date", key=key, digest_size=32).digest()
+    new = datetime.date.fromordinal(_FIRST + permute(n, _LAST - _FIRST + 1, salted, valid))
+    if year_first:
+        return f"{new.year}{sep}{new.month:02d}{sep}{new.day:02d}"
+    first, second = (new.month, new.day) if month_first else (new.day, new.month)
+    return f"{first:02d}{sep}{second:02d}{sep}{new.year}"
 
 
 def _secret(m: re.Match, key: bytes) -> str:
@@ -201,7 +219,8 @@ def _bare_secret(m: re.Match, key: bytes) -> str:
     return text[:4] + _characters(text[4:], key, "bare")
 
 
-# In order of precedence; an earlier kind takes the characters it matches.
+# In order of precedence; an earlier kind takes the characters it matches,
+# unless they don't hold for it: then later kinds are tried from there on.
 KINDS = {
     "secret": (
         r"""(?:(?i:token|secret|passw(?:or)?d|api[_-]?key|key)["']?\s*[=:]\s*["']?(?P<secret>[A-Za-z0-9+/_-]{16,}))""",
@@ -232,6 +251,11 @@ def _pattern() -> re.Pattern:
     return re.compile("|".join(f"(?P<k_{k}>{p})" for k, (p, _) in KINDS.items()), re.ASCII)
 
 
+@functools.cache
+def _kind_pattern(kind: str) -> re.Pattern:
+    return re.compile(KINDS[kind][0], re.ASCII)
+
+
 # Every kind holds a digit, a mail sign or an assignment; texts without any
 # of them are passed on without a search.
 _MAY = re.compile(r"[0-9@]|(?i:token|secret|passw|key)|sk-|gh[pousr]_")
@@ -249,20 +273,35 @@ class Pseudonyms:
             return text, {}
         counts: dict[str, int] = {}
 
-        def one(m: re.Match) -> str:
-            kind = next(k for k in KINDS if m.group(f"k_{k}") is not None)
-            value = m.group()
-            if (kind, value) not in self._known:
-                if len(self._known) > 100_000:
-                    self._known.clear()
-                self._known[kind, value] = KINDS[kind][1](m, self._key)
-            new = self._known[kind, value]
+        out, done, at = [], 0, 0
+        while m := _pattern().search(text, at):
+            kind, m, new = self._read(text, m)
             if new is None:
-                return value
+                at = m.start() + 1
+                continue
             counts[kind] = counts.get(kind, 0) + 1
-            return new
-
-        return _pattern().sub(one, text), counts
+            out += [text[done : m.start()], new]
+            done = at = m.end()
+        return "".join([*out, text[done:]]), counts
+
+    def _read(self, text: str, m: re.Match) -> tuple[str, re.Match, str | None]:
+        """A find under the first kind that holds for it, or with None."""
+        first = next(k for k in KINDS if m.group(f"k_{k}") is not None)
+        new = self._pseudonym(first, m)
+        if new is None:
+            for kind in list(KINDS)[list(KINDS).index(first) + 1 :]:
+                again = _kind_pattern(kind).match(text, m.start())
+                if again and (new := self._pseudonym(kind, again)) is not None:
+                    return kind, again, new
+        return first, m, new
+
+    def _pseudonym(self, kind: str, m: re.Match) -> str | None:
+        value = m.group()
+        if (kind, value) not in self._known:
+            if len(self._known) > 100_000:
+                self._known.clear()
+            self._known[kind, value] = KINDS[kind][1](m, self._key)
+        return self._known[kind, value]
 
 
 def _udf(key: str):

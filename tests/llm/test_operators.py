@@ -139,6 +139,29 @@ def test_long_secrets_keep_no_runs():
             assert max(map(len, same.split("#"))) < 12 and same.count("=") < len(same) / 4
 
 
+def test_dates_of_either_reading():
+    names = pii.Pseudonyms("k")
+    days = ["25/12/1990", "31/01/2001", "13/02/2000", "29/02/2000", "12-25-1990", "01.31.2001", "05/12/1990", "25-12-1990"]
+    for day in days:
+        out, finds = names.replace(f"né le {day}, ok")
+        a, sep, b, year = re.fullmatch(r"né le (\d\d)([-/.])(\d\d)[-/.](\d{4}), ok", out).groups()
+        assert finds == {"date": 1} and out != f"né le {day}, ok" and sep == day[2]
+        # a result is read the same way as its value
+        for x, y in ((day[:2], a), (day[3:5], b)):
+            assert int(y) <= 12 or int(x) > 12 or day in ("05/12/1990", "25-12-1990")
+        assert 1900 <= int(year) <= 2099
+    all_days = [f"{d:02d}/{m:02d}/{y}" for y in (1990, 2000) for m in range(1, 13) for d in range(1, 29)]
+    assert len({names.replace(d)[0] for d in all_days}) == len(all_days)
+    assert names.replace("31/02/2001 00/00/1999 1990-25-12 99.99.1999")[1] == {}
+    iso, us = names.replace("1990-12-05")[0], names.replace("12/05/1990")[0]
+    assert us == f"{iso[5:7]}/{iso[8:]}/{iso[:4]}"
+
+
+def test_a_find_that_does_not_hold_is_read_as_other_kinds():
+    out, finds = pii.Pseudonyms("k").replace("+1 4111 1111 1111 1111 and 999.1.1.1")
+    assert finds == {"card": 1} and out.startswith("+1 ") and "4111 1111 1111 1111" not in out and out.endswith(" and 999.1.1.1")
+
+
 def test_language_from_text_and_other_evidence(spark):
     rng = random.Random(4)
     words = {"en": "the and of thing other", "de": "der und nicht schön über", "fr": "le été où très que"}
