@@ -17,8 +17,9 @@ def language_id(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return neardup.keep_one_of_each(docs)
+    """One document of each group of near copies (a similarity of 0.8 or
+    more of their five-word shingles)."""
+    return neardup.keep_one_of_each(docs, percent=80)
 
 
 def pseudonyms(spark, docs, sf_dir):

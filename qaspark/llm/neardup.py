@@ -18,8 +18,9 @@ part. A pair is first held against the collision-corrected Jaccard estimate
 of the registers (with a wide margin) and then confirmed on the full sets.
 Copies with an equal set enter as one.
 
-At a similarity of 0.85 a pair shares no band with a probability of about
-1.2e-7, and less above it.
+The least similarity of a link is a parameter; the bands follow from it. A
+pair at 0.85 shares none of 50 bands of 8, and one at 0.80 none of 70 bands
+of 7, with a probability of about 1e-7, and less above it.
 
 Defined cases: null or empty texts and texts without words have an empty set
 and link with nothing; rows with a null id link with nothing and are their
@@ -39,12 +40,15 @@ from pyspark.sql import functions as F
 
 from qaspark.llm.common import materialise, prepare
 from qaspark.llm.graph import components
+from qaspark.operators.order import reindex
 
 SHINGLE = 5
 BANDS, ROWS = 50, 8
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 THRESHOLD_PERCENT = 85
+# Least similarity in percent -> bands and their rows.
+SHAPES = {85: (BANDS, ROWS), 80: (70, 7)}
 # Standard deviations by which an estimate may lie under the threshold.
 MARGIN = 7.0
 # Ids of candidate documents up to this many rows (16 MB) are broadcast to
@@ -95,32 +99,40 @@ def shingle_hashes(text: str | None, known: _WordHashes) -> np.ndarray:
     return np.unique(_mix(s, 1))
 
 
-@functools.lru_cache(maxsize=1)
-def _borrow_order() -> np.ndarray:
+def shape_of(percent: int) -> tuple[int, int]:
+    """Bands and rows for links of at least so many percent."""
+    fit = [p for p in SHAPES if p <= percent]
+    if not fit:
+        raise ValueError(f"no bands for a similarity of {percent} percent; the least is {min(SHAPES)}")
+    return SHAPES[max(fit)]
+
+
+@functools.lru_cache(maxsize=2)
+def _borrow_order(buckets: int) -> np.ndarray:
     """For each bucket, the rank of every bucket in its fixed random order."""
     rng = np.random.Generator(np.random.PCG64(20240711))
-    return rng.permuted(np.tile(np.arange(BUCKETS, dtype=np.uint16), (BUCKETS, 1)), axis=1)
+    return rng.permuted(np.tile(np.arange(buckets, dtype=np.uint16), (buckets, 1)), axis=1)
 
 
-def registers(shingles: np.ndarray) -> np.ndarray:
-    """The ``BUCKETS`` registers of a non-empty set, empty ones borrowed."""
-    bucket = ((shingles >> np.uint64(32)) * np.uint64(BUCKETS)) >> np.uint64(32)
+def registers(shingles: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """The ``buckets`` registers of a non-empty set, empty ones borrowed."""
+    bucket = ((shingles >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     value = _mix(shingles, 2) >> np.uint64(11)  # 53 bits
-    low = np.full(BUCKETS, np.uint64(2**64 - 1))
+    low = np.full(buckets, np.uint64(2**64 - 1))
     np.minimum.at(low, bucket.astype(np.int64), value)
     filled = np.flatnonzero(low != np.uint64(2**64 - 1))
     v = low[filled]
     zeros = 53 - np.frexp(v.astype(np.float64))[1]
     rest = (v << (zeros + 1).astype(np.uint64)) & np.uint64(2**53 - 1)
-    reg = np.zeros(BUCKETS, np.uint16)
+    reg = np.zeros(buckets, np.uint16)
     reg[filled] = ((np.minimum(zeros, 62).astype(np.uint16) + 1) << MANTISSA) | (rest >> np.uint64(53 - MANTISSA)).astype(np.uint16)
     empty = np.flatnonzero(low == np.uint64(2**64 - 1))
     if len(empty):
-        reg[empty] = reg[filled[_borrow_order()[np.ix_(empty, filled)].argmin(axis=1)]]
+        reg[empty] = reg[filled[_borrow_order(buckets)[np.ix_(empty, filled)].argmin(axis=1)]]
     return reg
 
 
-def _sketches(batches):
+def _sketches(batches, buckets: int):
     known = _WordHashes()
     for pdf in batches:
         rows = []
@@ -129,7 +141,7 @@ def _sketches(batches):
             if len(s):
                 digest = xxhash.xxh128_digest(s.tobytes())
                 h1, h2 = np.frombuffer(digest, np.int64)
-                rows.append((doc_id, len(s), int(h1), int(h2), registers(s).tobytes()))
+                rows.append((doc_id, len(s), int(h1), int(h2), registers(s, buckets).tobytes()))
             else:
                 rows.append((doc_id, 0, 0, 0, None))
         out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "h1", "h2", "regs"])
@@ -137,11 +149,11 @@ def _sketches(batches):
         yield out
 
 
-def _collisions(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def _collisions(n_a: np.ndarray, n_b: np.ndarray, buckets: int) -> np.ndarray:
     """Chance that the registers of one bucket agree though its two smallest
     shingles differ: over each count of leading zeros, the chance that both
     minima fall into one mantissa cell."""
-    la, lb = n_a / BUCKETS, n_b / BUCKETS
+    la, lb = n_a / buckets, n_b / buckets
     both = la + lb
     total = np.zeros(len(la))
     for z in range(40):
@@ -154,25 +166,25 @@ def _collisions(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
 def estimate(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Collision-corrected Jaccard estimates of rows of registers."""
     same = (regs_a == regs_b).mean(axis=1)
-    chance = _collisions(n_a.astype(float), n_b.astype(float))
+    chance = _collisions(n_a.astype(float), n_b.astype(float), regs_a.shape[1])
     return np.clip((same - chance) / (1 - chance), 0, 1)
 
 
-def _likely(batches):
+def _likely(batches, percent: int, buckets: int):
     """Pairs whose estimate isn't clearly below the threshold."""
-    level = THRESHOLD_PERCENT / 100
+    level = percent / 100
     for pdf in batches:
         if len(pdf):
-            a = np.frombuffer(b"".join(pdf["regs_a"]), np.uint16).reshape(-1, BUCKETS)
-            b = np.frombuffer(b"".join(pdf["regs_b"]), np.uint16).reshape(-1, BUCKETS)
+            a = np.frombuffer(b"".join(pdf["regs_a"]), np.uint16).reshape(-1, buckets)
+            b = np.frombuffer(b"".join(pdf["regs_b"]), np.uint16).reshape(-1, buckets)
             n_a, n_b = pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy()
-            filled = BUCKETS * (1 - np.exp(-np.minimum(n_a, n_b) / BUCKETS))
+            filled = buckets * (1 - np.exp(-np.minimum(n_a, n_b) / buckets))
             low = level - MARGIN * np.sqrt(level * (1 - level) / np.maximum(filled, 1))
             pdf = pdf[estimate(a, b, n_a, n_b) >= low]
         yield pdf[["a", "b"]]
 
 
-def _confirmed(batches):
+def _confirmed(batches, percent: int):
     """Pairs that reach the threshold on their full sets."""
     known: _WordHashes = _WordHashes()
     sets: dict = {}
@@ -189,7 +201,7 @@ def _confirmed(batches):
         for ta, tb in zip(pdf["text_a"], pdf["text_b"], strict=True):
             x, y = of(ta), of(tb)
             common = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(len(x) > 0 and 100 * common >= THRESHOLD_PERCENT * (len(x) + len(y) - common))
+            keep.append(len(x) > 0 and 100 * common >= percent * (len(x) + len(y) - common))
         yield pdf.loc[np.array(keep, bool), ["a", "b"]]
 
 
@@ -202,9 +214,9 @@ def _shingles(batches):
                 yield pd.DataFrame({"doc_id": doc_id, "s": part})
 
 
-def _band(regs: str, i: Column) -> Column:
+def _band(regs: str, i: Column, rows: int) -> Column:
     """The registers of band ``i``."""
-    return F.substring(F.col(regs), i * (2 * ROWS) + 1, F.lit(2 * ROWS))
+    return F.substring(F.col(regs), i * (2 * rows) + 1, F.lit(2 * rows))
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -221,32 +233,36 @@ def _own_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _with_registers(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_registers(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of sizes that allow a link, with both registers."""
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (F.col("n_a") * 100 >= F.col("n_b") * THRESHOLD_PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * THRESHOLD_PERCENT)
+        (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
     )
 
 
-def _links(near: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(near: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` that are links, from pairs with registers; texts
     are read for ids in likely pairs only."""
-    likely = materialise(near.mapInPandas(_likely, "a long, b long").distinct(), "pairs")
+    bands, rows = shape_of(percent)
+    may = functools.partial(_likely, percent=percent, buckets=bands * rows)
+    likely = materialise(near.mapInPandas(may, "a long, b long").distinct(), "pairs")
     ids = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = _texts_of(docs, ids)
     text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
     full = likely.join(text("a"), "a").join(text("b"), "b")
-    return materialise(full.mapInPandas(_confirmed, "a long, b long").distinct(), "links")
+    return materialise(full.mapInPandas(functools.partial(_confirmed, percent=percent), "a long, b long").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
-    kept``. Extra columns of ``docs`` are not read."""
+    kept``. Documents of a similarity of at least ``percent`` are linked.
+    Extra columns of ``docs`` are not read."""
     spark = docs.sparkSession
+    n_bands, n_rows = shape_of(percent)
     prepare(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketched = materialise(docs.mapInPandas(_sketches, _SKETCH_SCHEMA), "sketches")
+    sketched = materialise(docs.mapInPandas(functools.partial(_sketches, buckets=n_bands * n_rows), _SKETCH_SCHEMA), "sketches")
     full = sketched.where("n_shingles > 0 and doc_id is not null")
     smallest = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
     member = full.select("doc_id", "h1", "h2").join(smallest, ["h1", "h2"]).select("doc_id", "rep")
@@ -254,12 +270,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         full.join(smallest, ["h1", "h2"]).where("doc_id = rep").select("doc_id", "n_shingles", "regs").distinct(), "sets"
     )
 
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, _band("regs", i)))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.xxhash64(i, _band("regs", i, n_rows)))
     bands = sets.select("doc_id", F.posexplode(keys).alias("band", "key"))
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id", "n"), "groups")
     stars = grouped.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    links = _links(_with_registers(stars, sets), docs)
+    links = _links(_with_registers(stars, sets, percent), docs, percent)
     first = components(links)
 
     labelled = grouped.join(first, grouped.doc_id == first.node, "left").select(
@@ -278,11 +294,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     side = lambda x: rows.select("key", *[F.col(c).alias(n + x) for c, n in names])
     most = F.least("shared_a", "shared_b")
     possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.least("centre_a", "centre_b"))
-    possible &= most * 100 >= (F.col("n_a") + F.col("n_b") - most) * THRESHOLD_PERCENT
-    before = F.slice(F.sequence(F.lit(0), F.lit(BANDS - 1)), 1, F.least("band_a", "band_b"))
-    earlier = F.exists(before, lambda i: _band("regs_a", i) == _band("regs_b", i))
+    possible &= most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent
+    before = F.slice(F.sequence(F.lit(0), F.lit(n_bands - 1)), 1, F.least("band_a", "band_b"))
+    earlier = F.exists(before, lambda i: _band("regs_a", i, n_rows) == _band("regs_b", i, n_rows))
     rest = side("a").join(side("b"), "key").where(possible & ~earlier)
-    more = _links(rest.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), docs)
+    more = _links(rest.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), docs, percent)
     whole = components(links.unionByName(more))
 
     cls = member.join(whole, member.rep == whole.node, "left").select(
@@ -298,8 +314,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that aren't the first of their group;
-    columns unchanged."""
-    drop = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["_dropped"], "left_anti")
+def _own_nodes(docs: DataFrame, unique: DataFrame) -> DataFrame:
+    """One row for each id and text of ``docs``, with a ``_node`` that is no
+    id of ``unique``, in the order of the ids (null last)."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    one = docs.groupBy("doc_id", "text").agg(F.first(F.struct(F.lit(1).alias("_one"), *rest)).alias("_rest"))
+    one = materialise(one.withColumns({"_no_id": F.col("doc_id").isNull(), "_id": F.col("doc_id").cast("long")}), "repeated")
+    n = one.count()
+    ends = unique.agg(F.min(F.col("doc_id").cast("long")).alias("lo"), F.max(F.col("doc_id").cast("long")).alias("hi")).first()
+    free = (ends["hi"] or 0) + 1
+    if free + n >= 2**63:
+        free = ends["lo"] - n
+    named = reindex(one, ["_no_id", "_id", "text"], "_node", start=free)
+    cols = [F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.{c}").alias(c) for c in docs.columns]
+    return materialise(named.select("_node", "_no_id", "_id", *cols), "repeated")
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
+    """One row of each group of ``docs``: the first by id (null last), and one
+    only of rows with equal ids; columns unchanged. Rows that share an id but
+    not a text, and rows without an id, are documents of their own here. Rows
+    without an id and without words are no copies of anything; they stay."""
+    columns = docs.columns
+    docs = docs.select("*", (F.col("doc_id").isNull() & ~F.coalesce("text", F.lit("")).rlike(r"[^ \t-\r]")).alias("_bare"))
+    bare = docs.where("_bare").select(*columns)
+    docs = docs.where("not _bare").select(*columns)
+    ids = docs.where("doc_id is not null")
+    often = materialise(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_often")), "often")
+    on = ids["doc_id"] == often["_often"]
+    unique = ids.join(often, on, "left_anti")
+    nodes = _own_nodes(ids.join(often, on, "left_semi").unionByName(docs.where("doc_id is null")), unique)
+    if nodes.isEmpty():
+        dropped = near_duplicates(ids, percent=percent).where("not kept").select(F.col("doc_id").alias("_dropped"))
+        return ids.join(dropped, ids["doc_id"] == dropped["_dropped"], "left_anti").unionByName(bare)
+    every = unique.select(F.col("doc_id").cast("long").alias("doc_id"), "text").unionByName(nodes.select(F.col("_node").alias("doc_id"), "text"))
+    found = near_duplicates(every, percent=percent).select(F.col("doc_id").alias("_node"), "component_id")
+    found = found.join(nodes.select("_node", "_no_id", "_id"), "_node", "left")
+    order = F.struct(F.coalesce("_no_id", F.lit(False)).alias("no_id"), F.coalesce("_id", "_node").alias("id"), F.col("_node").alias("node"))
+    found = materialise(found.select("_node", "component_id", order.alias("_order")), "found")
+    first = found.groupBy("component_id").agg(F.min("_order").alias("_first"))
+    dropped = found.join(first, "component_id").where("_order <> _first").select(F.col("_node").alias("_dropped"))
+    dropped = materialise(dropped, "dropped")
+    out = unique.join(dropped, unique["doc_id"] == dropped["_dropped"], "left_anti")
+    more = nodes.join(dropped, nodes["_node"] == dropped["_dropped"], "left_anti").select(*columns)
+    return out.unionByName(more).unionByName(bare)

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from qaspark.llm import ann, bpe, chat_tools, langid, mixing, neardup, pii, quality, toxicity, urls
 
@@ -54,6 +55,49 @@ def test_near_duplicates_equal_brute_force(spark):
     assert neardup.near_duplicates(_docs(spark, [])).count() == 0
 
 
+def _with_similarity(words, percent):
+    """The words with the last ones replaced, so that just this similarity of
+    the shingles is kept."""
+    n = len(words) - 4
+    common = -(-2 * n * percent // (100 + percent))
+    return words[: common + 4] + [f"other{i}" for i in range(n - common)]
+
+
+def test_stage_links_from_80_percent(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    texts = []
+    for _ in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join(words), " ".join(_with_similarity(words, 81))]
+        texts += [" ".join(w := [f"v{rng.randrange(10**6)}" for _ in range(200)]), " ".join(_with_similarity(w, 78))]
+    docs = _docs(spark, texts)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, None).collect())
+    assert kept == [i for i in range(160) if i % 4 != 1]
+    assert neardup.near_duplicates(docs).where("not kept").count() == 0
+    for percent, (bands, rows) in neardup.SHAPES.items():
+        assert (1 - (percent / 100) ** rows) ** bands < 2e-7
+    with pytest.raises(ValueError):
+        neardup.near_duplicates(docs, percent=70)
+
+
+def test_one_row_of_each_group_with_equal_and_null_ids(spark):
+    rng = random.Random(13)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (2, a), (3, b), (3, c), (4, b.upper()), (None, c), (None, d), (None, d), (9, None), (9, None), (8, ""), (None, ""), (None, None)]
+    rows += [(2**63 - 1, "one of its own"), (-5, "another one")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 7, "y") for i, t in rows], DOC)
+    want = {(1, a), (3, b), (3, c), (None, d), (9, None), (8, ""), (None, ""), (None, None), *rows[-2:]}
+    for percent in (80, 85):
+        out = neardup.keep_one_of_each(docs, percent=percent)
+        got = [(r["doc_id"], r["text"]) for r in out.collect()]
+        assert out.columns == docs.columns and len(got) == len(want) and set(got) == want
+    # copies without an id, behind one with an id that is larger than any node
+    got = neardup.keep_one_of_each(docs.where(F.col("text") == a).unionByName(docs.where("doc_id is null"))).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == sorted([(1, a), (0, c), (0, d), (0, ""), (0, "")])
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(1)
     for j in (0.5, 0.85, 0.95):
