@@ -6,10 +6,16 @@ dependencies have all been placed; arguments are checked against the tools'
 schemas; every linked call is written as canonical JSON (sorted keys, no
 white space). DataFrame functions only.
 
-One row is returned for each conversation and identifier. Defined cases:
-repeated calls or results of one identifier are counted, and the first by
-turn is taken; a null conversation or identifier links with nothing (status
-``no_id``); a dependency that is no call of the conversation is listed as
+One row is returned for each call, and for each result without a call.
+Defined cases: calls that repeat an identifier are numbered by turn, one row
+each (``n_calls`` counts an identifier's calls, ``n_results`` the results of
+one call); a result or
+a dependency goes to the last of them at or before its own turn (the first,
+if there's none), and results of calls of one turn go to them one by one; of
+more results than calls the first by turn is taken, and the others are
+returned beside it or as rows of their own; a call or result with a null
+conversation or identifier is a row of its own, links with nothing (status
+``no_id``) and comes last; a dependency that is no call of the conversation is listed as
 missing and doesn't hold the call back; calls on a dependency cycle, or
 behind one, have no level and come last (status ``cyclic``); arguments that
 are null or no JSON object are invalid and kept as text; empty tables give
@@ -18,15 +24,15 @@ empty results; extra columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaspark.llm.common import materialise
-from qaspark.operators.order import reindex
+from qaspark.operators.order import reindex, running_sums
 
 KEY = ["conv_id", "call_id"]
+# A call: the identifier and the number of its occurrence.
+NODE = [*KEY, "_occ"]
 
 
 def _first_of_each(df: DataFrame, cols: list[str], count: str) -> DataFrame:
@@ -35,19 +41,63 @@ def _first_of_each(df: DataFrame, cols: list[str], count: str) -> DataFrame:
     return df.groupBy(*KEY).agg(F.min(row).alias("_r"), F.count(F.lit(1)).alias(count)).select(*KEY, count, "_r.*")
 
 
+def _numbered(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with a row's number within its key, ranked over ranges."""
+    seq = reindex(df, [*keys, *order], "_seq")
+    low = seq.groupBy(*keys).agg(F.min("_seq").alias("_low"))
+    return seq.join(low, keys).withColumn(name, F.col("_seq") - F.col("_low") + 1).drop("_seq", "_low")
+
+
+def _last_at(asks: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``asks`` (with ``turn``) and ``_at``: how many of the repeated calls
+    of its key lie at or before its turn."""
+    calls = repeated.select(*KEY, F.col("call_turn").alias("turn"), F.lit(1).alias("_call"))
+    both = asks.withColumn("_call", F.lit(0)).unionByName(calls, allowMissingColumns=True)
+    sums = running_sums(both, [*KEY, "turn", 1 - F.col("_call")], {"_sum": "_call"})
+    low = sums.groupBy(*KEY).agg(F.min(F.col("_sum") - F.col("_call")).alias("_low"))
+    return sums.where("_call = 0").join(low, KEY).select(*asks.columns, (F.col("_sum") - F.col("_low")).alias("_at"))
+
+
+def _every_result(results: DataFrame, first: DataFrame, repeated: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """The result of each occurrence, and the results beyond (none if no
+    identifier has more than one)."""
+    hot = first.where("n_results > 1").select(*KEY)
+    if repeated is not None:
+        hot = hot.unionByName(first.where("n_results = 1").join(repeated.select(*KEY).distinct(), KEY, "left_semi").select(*KEY))
+    hot = materialise(hot, "repeated")
+    one = first.withColumn("_occ", F.lit(1).cast("long"))
+    if hot.isEmpty():
+        return one, None
+    each = results.join(hot, KEY).select(*KEY, "turn", "content")
+    if repeated is None:
+        each = each.withColumns({"_at": F.lit(1).cast("long"), "_size": F.lit(1).cast("long")})
+    else:
+        turns = repeated.groupBy(*KEY, "call_turn").agg(F.count(F.lit(1)).alias("_size"), F.max("_occ").alias("_at")).drop("call_turn")
+        least = turns.groupBy(*KEY).agg(F.min("_at").alias("_least"))
+        at = F.greatest("_at", F.coalesce("_least", F.lit(1)))
+        each = _last_at(each, repeated).join(least, KEY, "left").withColumn("_at", at).drop("_least")
+        each = each.join(turns, [*KEY, "_at"], "left").withColumn("_size", F.coalesce("_size", F.lit(1)))
+    each = _numbered(each, [*KEY, "_at"], ["turn", F.xxhash64("content")], "_k")
+    each = each.withColumn("_occ", F.col("_at") - F.col("_size") + F.least("_k", "_size"))
+    each = materialise(each.select(*NODE, F.col("turn").alias("result_turn"), "content", (F.col("_k") > F.col("_size")).alias("_beyond")), "results")
+    each = each.join(each.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_results")), NODE)
+    taken = each.where("not _beyond").drop("_beyond")
+    return one.join(hot, KEY, "left_anti").unionByName(taken), each.where("_beyond").drop("_beyond")
+
+
 def levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """``conv_id, call_id, level`` of the calls that can be ordered; ``edges``
-    has ``conv_id, call_id, parent``. The number of rounds is the length of
-    the longest chain of dependencies."""
+    """``conv_id, call_id, _occ, level`` of the calls that can be ordered;
+    ``edges`` has ``conv_id, call_id, _occ, parent, parent_occ``. The number
+    of rounds is the length of the longest chain of dependencies."""
     edges = materialise(edges.distinct(), "edges")
-    placed = calls.select(*KEY).join(edges.select(*KEY).distinct(), KEY, "left_anti").withColumn("level", F.lit(0).cast("long"))
+    placed = calls.select(*NODE).join(edges.select(*NODE).distinct(), NODE, "left_anti").withColumn("level", F.lit(0).cast("long"))
     placed = materialise(placed, "levels")
     done, level = placed, 0
     while not edges.isEmpty():
-        ready = placed.select("conv_id", F.col("call_id").alias("parent"))
-        rest = materialise(edges.join(ready, ["conv_id", "parent"], "left_anti"), "edges")
+        ready = placed.select("conv_id", F.col("call_id").alias("parent"), F.col("_occ").alias("parent_occ"))
+        rest = materialise(edges.join(ready, ["conv_id", "parent", "parent_occ"], "left_anti"), "edges")
         level += 1
-        freed = edges.select(*KEY).distinct().join(rest.select(*KEY).distinct(), KEY, "left_anti")
+        freed = edges.select(*NODE).distinct().join(rest.select(*NODE).distinct(), NODE, "left_anti")
         placed = materialise(freed.withColumn("level", F.lit(level).cast("long")), "levels")
         if placed.isEmpty():
             break
@@ -81,30 +131,57 @@ def problems(arguments: Column, parsed: Column, tool: Column, schemas: dict) ->
     )
 
 
-def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
+def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict, more: str = "array") -> DataFrame:
     """``conv_id, call_id, position, level, status, n_calls, n_results,
     problems, json`` from ``calls`` (``conv_id, turn, call_id, tool,
     arguments, depends_on``) and ``results`` (``conv_id, turn, call_id,
     content``). ``position`` counts a conversation's rows from 1 in
-    topological order, then by turn; orphan results come after the calls."""
-    c = _first_of_each(calls, ["tool", "arguments", "depends_on"], "n_calls").withColumnRenamed("turn", "call_turn")
-    c = materialise(c, "calls")
-    r = _first_of_each(results, ["content"], "n_results").withColumnRenamed("turn", "result_turn")
-    named = c.where(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    wanted = named.select(*KEY, F.explode(F.array_distinct("depends_on")).alias("parent")).where("parent is not null")
-    there = named.select("conv_id", F.col("call_id").alias("parent"))
-    edges = wanted.join(there, ["conv_id", "parent"], "left_semi").select(*KEY, "parent")
-    missing = wanted.join(there, ["conv_id", "parent"], "left_anti").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_missing"))
-    placed = levels(named, edges)
-
-    both = c.join(r, reduce(lambda a, b: a & b, [c[k].eqNullSafe(r[k]) for k in KEY]), "full")
-    both = both.select(
-        *[F.coalesce(c[k], r[k]).alias(k) for k in KEY],
-        *[F.col(x) for x in ("call_turn", "tool", "arguments", "depends_on", "result_turn", "content")],
-        F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
-        F.coalesce("n_results", F.lit(0)).alias("n_results"),
-    )
-    both = both.join(placed, KEY, "left").join(missing, KEY, "left")
+    topological order, then by turn; orphan results come after the calls.
+    Results beyond the first of a call are listed by turn in one more column
+    ``more_results``; with ``more="rows"`` they are rows like orphans."""
+    has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    of_call, one, none = ["tool", "arguments", "depends_on"], F.lit(1).cast("long"), F.lit(0).cast("long")
+    first = _first_of_each(calls.where(has_id), of_call, "n_calls").withColumnRenamed("turn", "call_turn")
+    first = materialise(first, "calls")
+    named = first.withColumn("_occ", one)
+    often, repeated = first.where("n_calls > 1").select(*KEY, "n_calls"), None
+    if not often.isEmpty():
+        each = calls.where(has_id).join(often, KEY).select(*KEY, "n_calls", F.col("turn").alias("call_turn"), *of_call)
+        repeated = materialise(_numbered(each, KEY, ["call_turn", F.xxhash64(*of_call)], "_occ"), "repeated")
+        named = named.where("n_calls = 1").unionByName(repeated)
+    r = _first_of_each(results.where(has_id), ["content"], "n_results").withColumnRenamed("turn", "result_turn")
+    r, beyond = _every_result(results.where(has_id), materialise(r, "results"), repeated)
+
+    wanted = named.select(*NODE, F.col("call_turn").alias("turn"), F.explode(F.array_distinct("depends_on")).alias("parent")).where("parent is not null")
+    there = first.select("conv_id", F.col("call_id").alias("parent"), "n_calls")
+    edges = wanted.join(there, ["conv_id", "parent"])
+    missing = wanted.join(there, ["conv_id", "parent"], "left_anti").groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_missing"))
+    single = edges.where("n_calls = 1").select(*NODE, "parent", one.alias("parent_occ"))
+    if repeated is not None:
+        asks = edges.where("n_calls > 1").select("conv_id", F.col("parent").alias("call_id"), "turn", F.col("call_id").alias("_child"), "_occ")
+        asked = _last_at(asks, repeated).select(
+            "conv_id", F.col("_child").alias("call_id"), "_occ", F.col("call_id").alias("parent"), F.greatest("_at", one).alias("parent_occ")
+        )
+        single = single.unionByName(asked)
+    placed = levels(named, single)
+
+    both = named.join(r, NODE, "full")
+    if beyond is not None and more == "rows":
+        both = both.unionByName(beyond, allowMissingColumns=True)
+    both = both.join(placed, NODE, "left").join(missing, NODE, "left")
+    both = both.withColumn("level", F.when(F.col("n_calls") > 0, F.col("level")))
+    listed = "array<struct<turn:bigint,content:string>>"
+    if beyond is not None and more == "array":
+        item = F.struct(F.col("result_turn").cast("long").alias("turn"), "content")
+        lists = beyond.groupBy(*NODE).agg(F.array_sort(F.collect_list(item)).cast(listed).alias("more_results"))
+        both = both.join(lists, NODE, "left")
+    else:
+        both = both.withColumn("more_results", F.lit(None).cast(listed))
+    # rows without an identifier take part in no join
+    lone = calls.where(~has_id).select(*KEY, F.col("turn").alias("call_turn"), *of_call, one.alias("n_calls"))
+    lost = results.where(~has_id).select(*KEY, F.col("turn").alias("result_turn"), "content", one.alias("n_results"))
+    both = both.unionByName(lone, allowMissingColumns=True).unionByName(lost, allowMissingColumns=True)
+    both = both.withColumns({"n_calls": F.coalesce("n_calls", none), "n_results": F.coalesce("n_results", none)})
     parsed = F.try_parse_json("arguments")
     status = (
         F.when(F.col("conv_id").isNull() | F.col("call_id").isNull(), "no_id")
@@ -134,16 +211,17 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     )
     both = both.withColumn("json", line).withColumn("_turn", F.coalesce("call_turn", "result_turn"))
     both = both.select(
-        *KEY, "level", "status", "n_calls", "n_results", "problems", "json", "_turn",
+        *NODE, "level", "status", "n_calls", "n_results", "problems", "json", "more_results", "_turn",
         F.when(F.col("level").isNotNull(), F.col("level")).when(F.col("n_calls") > 0, 1 << 60).otherwise(1 << 61).alias("_place"),
+        F.xxhash64("json").alias("_tie"),
     )
     # a hot conversation is ordered over many ranges, not in one window
-    ranked = reindex(both, ["conv_id", "_place", "_turn", "call_id"], "_seq")
+    ranked = reindex(both, ["conv_id", "_place", "_turn", "call_id", "_occ", "_tie"], "_seq")
     starts = ranked.groupBy("conv_id").agg(F.min("_seq").alias("_start")).withColumnRenamed("conv_id", "_c")
     out = ranked.join(starts, ranked.conv_id.eqNullSafe(starts._c))
     return out.select(
         *KEY, (F.col("_seq") - F.col("_start") + 1).alias("position"), "level", "status", "n_calls", "n_results",
-        F.array_join("problems", ";").alias("problems"), "json",
+        F.array_join("problems", ";").alias("problems"), "json", *["more_results"] * (more == "array"),
     )
 
 

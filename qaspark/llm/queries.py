@@ -46,7 +46,7 @@ def op3(spark, sf_dir):
 @_query("op4_tool_calls", chat_tools.CHAT_SQL)
 def op4(spark, sf_dir):
     calls, results = chat_tools.derived_calls(_table(spark, sf_dir, "conversations"))
-    return chat_tools.link_tool_calls(calls, results, chat_tools.SCHEMAS)
+    return chat_tools.link_tool_calls(calls, results, chat_tools.SCHEMAS, more="rows")
 
 
 @_query("op5_pseudonyms")

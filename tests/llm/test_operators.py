@@ -2,6 +2,7 @@
 texts, ties and repeated rows, empty tables, extra columns."""
 
 import hashlib
+import json
 import random
 import re
 
@@ -312,3 +313,45 @@ def test_tool_calls(spark):
     assert got[1, "d"]["n_calls"] == 2 and got[1, "d"]["problems"] == "tool;dependency"
     assert got[None, "z"]["status"] == got[2, None]["status"] == "no_id"
     assert chat_tools.link_tool_calls(c.where("false"), r.where("false"), chat_tools.SCHEMAS).count() == 0
+
+
+def test_tool_calls_without_or_with_repeated_identifiers(spark):
+    calls = [
+        # a log that restarts at call_0; the second session's call_0 has no result
+        (1, 1, "call_0", "count", '{"text":"s1"}', []), (1, 3, "call_1", "count", '{"text":"s1b"}', ["call_0"]),
+        (1, 11, "call_0", "count", '{"text":"s2"}', ["call_1"]),
+        (1, 21, "call_0", "count", '{"text":"s3"}', []), (1, 23, "call_1", "count", '{"text":"s3b"}', ["call_0"]),
+        # two calls of one turn
+        (2, 1, "p", "count", '{"text":"x"}', []), (2, 1, "p", "count", '{"text":"y"}', []),
+        # no identifier
+        (None, 1, "n", "count", '{"text":"n1"}', []), (None, 1, "n", "count", '{"text":"n2"}', ["n"]),
+        (3, 1, None, "count", '{"text":"n3"}', []), (3, 1, None, "count", '{"text":"n4"}', []), (None, None, None, "gone", None, None),
+    ]
+    results = [
+        (1, 2, "call_0", "r1"), (1, 4, "call_1", "r1b"), (1, 22, "call_0", "r3"), (1, 24, "call_1", "r3b"), (1, 25, "call_1", "late"),
+        (2, 2, "p", "first"), (2, 3, "p", "second"), (None, 2, "n", "lost"), (3, 2, None, "lost too"), (None, None, None, "lost three"),
+    ]
+    c = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, tool string, arguments string, depends_on array<string>")
+    r = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string")
+    rows = chat_tools.link_tool_calls(c, r, chat_tools.SCHEMAS).collect()
+    found = {}
+    for x in rows:
+        j = json.loads(x["json"])
+        found[x["conv_id"], x["call_id"], j.get("arguments", {}).get("text"), j.get("result")] = x
+    assert len(rows) == len(found) == len(calls) + 3
+    at = lambda *key: (found[key]["status"], found[key]["level"], found[key]["n_calls"], found[key]["n_results"])
+    assert at(1, "call_0", "s1", "r1") == ("linked", 0, 3, 1) and at(1, "call_1", "s1b", "r1b") == ("linked", 1, 2, 1)
+    assert at(1, "call_0", "s2", None) == ("unanswered", 2, 3, 0)
+    assert at(1, "call_0", "s3", "r3") == ("linked", 0, 3, 1) and at(1, "call_1", "s3b", "r3b") == ("linked", 1, 2, 2)
+    assert [tuple(m) for m in found[1, "call_1", "s3b", "r3b"]["more_results"]] == [(25, "late")]
+    assert {(k[2], k[3]) in (("x", "first"), ("y", "second"), ("x", "second"), ("y", "first")) for k in found if k[0] == 2} == {True}
+    for key in [(None, "n", "n1", None), (None, "n", "n2", None), (3, None, "n3", None), (3, None, "n4", None), (None, None, None, None)]:
+        assert at(*key) == ("no_id", None, 1, 0)
+    for key in [(None, "n", None, "lost"), (3, None, None, "lost too"), (None, None, None, "lost three")]:
+        assert at(*key) == ("no_id", None, 0, 1)
+    for conv in (1, 2, 3, None):
+        n = sorted(x["position"] for x in rows if x["conv_id"] == conv)
+        assert n == list(range(1, len(n) + 1))
+    spread = chat_tools.link_tool_calls(c, r, chat_tools.SCHEMAS, more="rows").collect()
+    assert len(spread) == len(rows) + 1 and "more_results" not in spread[0].asDict()
+    assert [(x["call_id"], x["status"], x["level"]) for x in spread if '"late"' in x["json"]] == [("call_1", "orphan", None)]
