@@ -35,7 +35,7 @@ from qaspark.llm.common import materialise, prepare
 UNKNOWN = "und"
 BUCKET_BITS = 16
 # Bounds of the sample that the trigram models are fitted on.
-SAMPLE_DOCS, SAMPLE_CHARS, MAX_LANGUAGES = 300, 4_000, 64
+SAMPLE_DOCS, SAMPLE_CHARS = 300, 4_000
 # A text counts as at most so many independent trigrams, so that other
 # evidence can still tip short or mixed texts.
 EFFECTIVE_TRIGRAMS = 60
@@ -71,18 +71,24 @@ def trigram_ids(text: str | None) -> np.ndarray:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and a matrix of log probabilities (trigram buckets x
-    languages, ``und`` last), from at most ``SAMPLE_DOCS`` rows a language
-    with texts of at most ``SAMPLE_CHARS`` characters, chosen by hash."""
-    ok = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        (F.length("text") <= SAMPLE_CHARS) & (F.length("text") > 0) & F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN)
+    languages, ``und`` last), for every language that has a non-empty text.
+    Fitted on at most ``SAMPLE_DOCS`` rows a language, chosen by hash from
+    its texts of at most ``SAMPLE_CHARS`` characters; a language that has
+    only longer ones gives the first ``SAMPLE_CHARS`` of each row taken."""
+    text = F.col(text_col)
+    ok = labelled.where((F.length(text) > 0) & F.col(lang_col).isNotNull() & (F.col(lang_col) != UNKNOWN)).select(
+        F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.col(lang_col).alias("lang"), (F.length(text) > SAMPLE_CHARS).alias("long")
     )
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    common = ok.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    wanted = sorted(r["lang"] for r in common.collect())
-    rows = ok.where(F.col("lang").isin(wanted)).withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).collect()
+    # short texts come before long ones
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("long", F.xxhash64("text"), "text"))
+    best = F.min("long").over(Window.partitionBy("lang"))
+    sample = ok.withColumn("r", rank).where(F.col("r") <= SAMPLE_DOCS).withColumn("best", best).where("long = best")
+    rows = sample.select("lang", "text").collect()
+    wanted = sorted({r["lang"] for r in rows})
+    place = {lang: i for i, lang in enumerate(wanted)}
     counts = np.zeros((1 << BUCKET_BITS, len(wanted) + 1))
     for r in rows:
-        counts[:, wanted.index(r["lang"])] += np.bincount(trigram_ids(r["text"]), minlength=1 << BUCKET_BITS)
+        counts[:, place[r["lang"]]] += np.bincount(trigram_ids(r["text"]), minlength=1 << BUCKET_BITS)
     counts += 0.05
     counts[:, -1] = 1.0
     return [*wanted, UNKNOWN], np.log(counts / counts.sum(axis=0)).astype(np.float32)

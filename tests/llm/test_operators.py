@@ -220,6 +220,29 @@ def test_language_from_text_and_other_evidence(spark):
     assert langid.keep_identified(docs.where("false")).count() == 0
 
 
+def test_every_language_has_a_model(spark):
+    rng = random.Random(14)
+    rows, n = [], 70
+    words = {f"l{i:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for i in range(n)}
+    for i, (lang, w) in enumerate(words.items()):
+        # the last languages have fewer rows, and the very last long texts only
+        size = 900 if i == n - 1 else 40
+        rows += [(len(rows) + k, " ".join(rng.choice(w) for _ in range(size)), lang, "s") for k in range(3 if i < n - 8 else 2)]
+    assert min(len(r[1]) for r in rows if r[2] == "l69") > langid.SAMPLE_CHARS
+    rows += [(1000, "x" * 5000, None, "s"), (1001, "", "zz", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = langid.fit(docs)
+    assert model[0] == [*sorted(words), "und"]
+    scores = {r[0]: model[1][langid.trigram_ids(r[1])].sum(axis=0) for r in rows[:-2]}
+    assert all(model[0][int(scores[r[0]].argmax())] == r[2] for r in rows[:-2])
+    got = {r["doc_id"]: r for r in langid.identify_documents(docs, model).collect()}
+    assert all(got[r[0]]["lang_found"] == r[2] and got[r[0]]["lang_kept"] for r in rows[:-2])
+    # a language with short texts is fitted on those alone
+    short = [(1, "ab cd ef", "xx", "s"), (2, "gh " * 3000, "xx", "s")]
+    table = langid.fit(spark.createDataFrame(short, "doc_id long, text string, lang string, source string"))[1]
+    assert table[langid.trigram_ids("gh gh")].max(axis=0)[0] < table[langid.trigram_ids("ab cd")].min(axis=0)[0]
+
+
 def test_toxicity_on_held_out_texts(spark):
     rng = random.Random(6)
     texts, labels = list(EDGE), []
