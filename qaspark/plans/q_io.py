@@ -139,12 +139,11 @@ BAD_LINES = (
 
 
 def checkpoint_fixture(spark, sf_dir):
-    """Checkpoint text lines: score_log cases with ``idx % 3 = 0`` done,
-    plus the hand-written lines."""
-    log = D.score_log(spark, sf_dir).where(F.col("idx") % 3 == 0)
+    """Checkpoint text lines: those of the whole score log, and the
+    hand-written ones, which use idx values of the log again."""
+    log = D.score_log(spark, sf_dir)
     log = log.select("idx", F.col("metric").alias("question"), F.create_map("metric", "score").alias("scores"))
-    extra = spark.createDataFrame([(s,) for s in BAD_LINES], "value string")
-    return IO.checkpoint_lines(log).unionByName(extra)
+    return IO.checkpoint_lines(log), spark.createDataFrame([(s,) for s in BAD_LINES], "value string")
 
 
 @register(
@@ -153,9 +152,15 @@ def checkpoint_fixture(spark, sf_dir):
 union all select * from (values (2, null, null), (4, 'A', 0.5), (4, 'D', 1.0), (7, 'A', 0.9)) v(idx, metric, score)""",
 )
 def read_checkpoint(spark, sf_dir):
-    path = scratch_path(spark, "checkpoint")
-    IO.append_checkpoint(checkpoint_fixture(spark, sf_dir), path)
-    entries = IO.read_checkpoint(spark, path)
+    """Both checkpoints are written and read whole; of the log's entries the
+    SQL asks for those with ``idx % 3 = 0``."""
+    read = []
+    for lines, name in zip(checkpoint_fixture(spark, sf_dir), ("checkpoint", "checkpoint-lines"), strict=True):
+        path = scratch_path(spark, name)
+        IO.append_checkpoint(lines, path)
+        read.append(IO.read_checkpoint(spark, path))
+    log, extra = read
+    entries = log.where(F.col("idx") % 3 == 0).unionByName(extra)
     return entries.select("idx", F.explode_outer("scores").alias("metric", "score"))
 
 

@@ -202,3 +202,14 @@ def test_checkpoint_idx_forms(spark):
              '{"idx": "6", "scores": {}}', '{"idx": true, "scores": {}}', '[1, 2]']
     df = spark.createDataFrame([(s,) for s in lines], "value string")
     assert sorted(r["idx"] for r in IO.parse_checkpoint(df).collect()) == [3, 4]
+
+
+def test_read_checkpoint_writes_the_whole_log(spark):
+    from qaspark.plans import derived, q_io
+
+    sf_dir = "/root/testdata/sf0.001"
+    lines, extra = q_io.checkpoint_fixture(spark, sf_dir)
+    log = derived.score_log(spark, sf_dir)
+    assert lines.count() == log.count() and extra.count() == len(q_io.BAD_LINES)
+    idx = {r["idx"] for r in IO.parse_checkpoint(lines).select("idx").collect()}
+    assert idx == {r["idx"] for r in log.select("idx").collect()} and any(i % 3 for i in idx)
