@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from qaspark.llm import ann, bpe, chat_tools, langid, mixing, neardup, pii, quality, repeats, toxicity, urls
+from qaspark.llm import ann, bpe, chat_tools, importance, langid, mixing, neardup, pii, quality, repeats, toxicity, urls
 from qaspark.llm.common import documents
 
 QUERIES: dict[str, Callable] = {}
@@ -86,6 +86,12 @@ def op10(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+@_query("op11_resample", importance.RESAMPLE_SQL)
+def op11(spark, sf_dir):
+    target = _table(spark, sf_dir, "benchmark").select("text")
+    return importance.resample(documents(spark, sf_dir, "doc_id", "text"), target)
+
+
 @_query("op12_repeats", repeats.REPEATS_SQL)
 def op12(spark, sf_dir):
     return repeats.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))

@@ -107,7 +107,7 @@ def _pieces_of(buf: np.ndarray, ends: np.ndarray, at: int):
     return start + at, n, place[start] + at, h[place[start]], digest
 
 
-def _units(texts: pa.BinaryArray):
+def text_units(texts: pa.BinaryArray):
     """First row, buffer and ends of runs of texts of up to ``UNIT`` bytes,
     longer texts by themselves."""
     at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
@@ -125,7 +125,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _anchors(batches):
     for batch in batches:
-        for _, buf, ends in _units(batch.column("text")):
+        for _, buf, ends in text_units(batch.column("text")):
             _, _, _, key, digest = pieces(buf, ends)
             yield pa.record_batch([_signed(key), _signed(digest)], ["key", "digest"])
 
@@ -141,7 +141,7 @@ def _candidates(batches, maps):
     repeated, mixed = (np.frombuffer(x, np.uint8) for x in maps.value)
     for batch in batches:
         ids, hashes = batch.column("doc_id"), batch.column("h")
-        for row, buf, ends in _units(batch.column("text")):
+        for row, buf, ends in text_units(batch.column("text")):
             start, n, place, key, _ = pieces(buf, ends)
             keep = _has(repeated, key)
             start, n, place, key = (x[keep] for x in (start, n, place, key))
@@ -304,7 +304,7 @@ def _removed(batches, maps):
     repeated = np.frombuffer(maps.value[0], np.uint8)
     for batch in batches:
         firsts, out = batch.column("firsts"), []
-        for row, buf, ends in _units(batch.column("text")):
+        for row, buf, ends in text_units(batch.column("text")):
             start, n, _, key, _ = pieces(buf, ends)
             keep = _has(repeated, key)
             begins = np.concatenate(([0], ends[:-1]))
