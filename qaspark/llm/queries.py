@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from qaspark.llm import ann, bpe, chat_tools, importance, langid, mixing, neardup, pii, quality, repeats, toxicity, urls
+from qaspark.llm import ann, bpe, chat_tools, importance, langid, mixing, neardup, pii, quality, repair, repeats, toxicity, urls
 from qaspark.llm.common import documents
 
 QUERIES: dict[str, Callable] = {}
@@ -95,3 +95,8 @@ def op11(spark, sf_dir):
 @_query("op12_repeats", repeats.REPEATS_SQL)
 def op12(spark, sf_dir):
     return repeats.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@_query("op13_repair", repair.REPAIR_SQL)
+def op13(spark, sf_dir):
+    return repair.repair(_table(spark, sf_dir, "conversations"))
