@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from qaspark.functions import text as T
 from qaspark.operators import chat as CH
 from qaspark.operators import load as L
+from qaspark.operators import packing as PK
 from qaspark.plans import derived as D
 from qaspark.plans.q_chat import _FULL, _PROMPT, _render_sql
 from qaspark.plans.registry import register
@@ -65,6 +66,26 @@ def budget_slots(spark, sf_dir):
     return L.budget_slots(D.call_log(spark, sf_dir))
 
 
+SLOT_CALLS = 12  # a second limit beside the budget, so that both are met
+
+
+@register(
+    "budget_slots_exact",
+    with_(CALL_LOG).replace("with ", "with recursive ", 1) + f""", o as materialized (
+  select event_id, tokens, row_number() over (order by ts, event_id) as pos,
+         sum(tokens) over (order by ts, event_id rows between unbounded preceding and current row) as run from call_log),
+n as materialized (select p.pos, coalesce(min(q.pos), p.pos + {SLOT_CALLS}) as nxt
+      from o p cross join range(1, {SLOT_CALLS + 1}) r(k) left join o q on q.pos = p.pos + k and q.run > p.run - p.tokens + 4200 group by p.pos),
+g(slot, pos) as (
+  select cast(0 as bigint), cast(1 as bigint)
+  union all select slot + 1, n.nxt from g join n on n.pos = g.pos where n.nxt <= (select count(*) from o))
+select o.event_id, g.slot, g.pos = o.pos as opens from o asof join g on o.pos >= g.pos""",
+)
+def budget_slots_exact(spark, sf_dir):
+    """Greedy slots of at most 4,200 tokens and 12 calls over the whole log."""
+    return PK.pack_calls(D.call_log(spark, sf_dir), max_calls=SLOT_CALLS)
+
+
 STALL_AFTER = 3
 
 
