@@ -11,6 +11,7 @@ from qaspark.plans.registry import register
 from qaspark.plans.sqltext import ANSWERS, QA, QA_DOCS, SCORE_LOG, split_cte, strip, with_
 from qaspark.session import scratch_path
 from qaspark.sources import io as IO
+from qaspark.sources import json_array as JA
 from qaspark.sources.tables import load
 
 
@@ -21,6 +22,22 @@ def read_json_array(spark, sf_dir):
     return IO.read_json_array(spark, path)
 
 
+@register(
+    "read_json_array_ranges",
+    "select doc_id, source, '\"}, {[' || text || '\\\" }]' as question, n_chars as n, '}' as tag_0, lang as tag_1 from documents",
+)
+def read_json_array_ranges(spark, sf_dir):
+    """One JSON array file of all documents, with nested objects and with
+    braces, quotes and backslashes in strings, read by byte ranges."""
+    path = scratch_path(spark, "json-array")
+    docs = load(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.concat(F.lit('"}, {['), "text", F.lit('\\" }]')).alias("question"),
+        F.struct(F.col("n_chars").alias("n"), F.array(F.lit("}"), "lang").alias("tags")).alias("meta"))
+    IO.write_json_array(docs, path, files=1)
+    rows = JA.read_json_array_ranges(spark, path, docs.schema)
+    return rows.select("doc_id", "source", "question", "meta.n", F.col("meta.tags")[0].alias("tag_0"), F.col("meta.tags")[1].alias("tag_1"))
+
+
 @register(
     "flatten_lists",
     with_(QA) + "select id, category || ' None ' || cast(id as varchar) as tags, question as words, "
