@@ -148,56 +148,100 @@ def stream_stall(spark, sf_dir):
     return ST.latest_per_key(spark.read.parquet(out), "user_id")
 
 
-def _late(spark, sf_dir):
-    """Late rows behind the watermark are dropped and counted (T6, N11):
-    early events arrive first, late-January events next, then the events
-    from between; each part is added and the stream restarted from the same
-    checkpoint, so the arrival order is fixed and the watermark set by the
-    second part is in force when the third arrives."""
-    base = scratch_path(spark, "stream-late")
-    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+_CUTS = """with e as (select epoch_us(ts) as us, ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' as late from events),
+mark as (select (max(us) - 3600000000) // 1000 * 1000 as w from e where not late),
+hours as (select us // 3600000000 * 3600000000 as s, count(*) as n from e where not late group by 1)
+"""
+
+
+def _arrivals(spark, sf_dir):
+    """Early events, then those of late January, then those from between."""
     ev = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
     early = F.col("ts") < F.lit("2024-01-10 00:00:00").cast("timestamp")
     late_jan = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp")
-    dropped = 0
-    for part in (early, late_jan, ~early & ~late_jan):
+    return ev, (early, late_jan, ~early & ~late_jan)
+
+
+def _late(spark, sf_dir):
+    """Late rows behind the watermark are dropped (T6, N11): early events
+    arrive first, late-January events next, then the events from between;
+    each part is added and the stream restarted from the same checkpoint, so
+    the arrival order is fixed and the watermark set by the second part is in
+    force when the third arrives."""
+    base = scratch_path(spark, "stream-late")
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    ev, parts = _arrivals(spark, sf_dir)
+    for part in parts:
         ev.where(part).write.mode("append").parquet(src)
         stream = ST.file_stream(spark, src, ev.schema)
         agg = stream.withWatermark("ts", "1 hour").groupBy(F.window("ts", "60 minutes").alias("w")).agg(
             F.count(F.lit(1)).alias("n"))
-        q = ST.run_to_parquet(agg, out, ckpt)
-        dropped += sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
-                       for op in p.get("stateOperators", []))
+        ST.run_to_parquet(agg, out, ckpt)
     windows = spark.read.parquet(out)
-    n_between = ev.where(~early & ~late_jan).count()
+    n_between = ev.where(parts[2]).count()
     start = F.col("w.start")
     late_window = (start >= F.lit("2024-01-10 00:00:00").cast("timestamp")) & (
         start < F.lit("2024-01-20 00:00:00").cast("timestamp"))
-    # n_dropped counts rows reaching the state store, i.e. after the partial
-    # (map-side) aggregation, so it is at most the number of late rows
     return windows.agg(F.count(F.lit(1)).alias("n_windows"), F.sum("n").alias("n_rows_out"),
                        F.count_if(late_window).cast("long").alias("n_late_windows_out")).select(
-        "n_windows", "n_rows_out", "n_late_windows_out", F.lit(int(dropped)).cast("long").alias("n_dropped"),
-        F.lit(int(n_between)).cast("long").alias("n_late_input"))
+        "n_windows", "n_rows_out", "n_late_windows_out", F.lit(int(n_between)).cast("long").alias("n_late_input"))
+
+
+def _marked(spark, ev, parts, name):
+    """All rows with ``late``, as they arrive part by part."""
+    base = scratch_path(spark, name)
+    src, out, ckpt = f"{base}/src", f"{base}/out", f"{base}/checkpoint"
+    for part in parts:
+        ev.where(part).coalesce(1).write.mode("append").parquet(src)
+    ST.late_stream(ST.file_stream(spark, src, ev.schema, max_files=1), out, ckpt)
+    return ST.read_marked(spark, out)
 
 
-@register("stream_late")
+@register(
+    "stream_late",
+    _CUTS + """select count(*) as n_windows, cast(sum(n) as bigint) as n_rows_out, cast(0 as bigint) as n_late_windows_out,
+       (select count(*) from e, mark where late and us // 3600000000 * 3600000000 + 3600000000 <= w) as n_dropped,
+       (select count(*) from e where late) as n_late_input
+from hours, mark where s + 3600000000 <= w""",
+)
 def stream_late(spark, sf_dir):
-    """Late rows with the state operator's drop counter, which depends on
-    how rows were aggregated before the state store: rows only."""
-    return _late(spark, sf_dir)
+    """The windows that the stream gives out, and the rows that it drops,
+    counted in the table of late rows that a second stream keeps."""
+    ev, parts = _arrivals(spark, sf_dir)
+    n_dropped = _marked(spark, ev, parts, "stream-late-rows").where("late").count()
+    return _late(spark, sf_dir).withColumn("n_dropped", F.lit(n_dropped).cast("long"))
+
+
+_PERIOD_DAYS = 3  # of arrivals that form a batch; every tenth event arrives in the next one
+
+
+@register(
+    "stream_late_rows",
+    f"""with e as (select event_id, epoch_us(ts) as us, epoch_us(ts) // {_PERIOD_DAYS * 86_400_000_000}
+       + case when event_id % 10 = 0 then 1 else 0 end as period from events),
+d as (select period, max(max(us)) over (order by period rows between unbounded preceding and 1 preceding) - 3600000000 as mark
+      from e group by period)
+select event_id, period, us // 3600000000 * 3600000000 + 3600000000 <= mark and mark is not null as late
+from e join d using (period)""",
+)
+def stream_late_rows(spark, sf_dir):
+    """Events that arrive three days a batch, every tenth a batch late: each
+    row with its verdict."""
+    ev = load(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    arrival = F.floor(F.unix_micros("ts") / F.lit(_PERIOD_DAYS * 86_400_000_000)) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    ev = ev.withColumn("period", arrival.cast("long"))
+    periods = [r["period"] for r in ev.select("period").distinct().orderBy("period").collect()]  # one for each batch
+    rows = _marked(spark, ev, [F.col("period") == p for p in periods], "stream-late-periods")
+    return rows.select("event_id", "period", "late")
 
 
 @register(
     "stream_late_windows",
-    """with e as (select epoch_us(ts) as us, ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' as late from events),
-mark as (select (max(us) - 3600000000) // 1000 * 1000 as w from e where not late),
-hours as (select us // 3600000000 * 3600000000 as s, count(*) as n from e where not late group by 1)
-select count(*) as n_windows, cast(sum(n) as bigint) as n_rows_out, cast(0 as bigint) as n_late_windows_out,
+    _CUTS + """select count(*) as n_windows, cast(sum(n) as bigint) as n_rows_out, cast(0 as bigint) as n_late_windows_out,
        (select count(*) from e where late) as n_late_input
 from hours, mark where s + 3600000000 <= w""",
 )
 def stream_late_windows(spark, sf_dir):
     """What the late-row stream gives out: the windows closed by the
     watermark of the second part, and none of the late ones."""
-    return _late(spark, sf_dir).drop("n_dropped")
+    return _late(spark, sf_dir)

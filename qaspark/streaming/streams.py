@@ -8,14 +8,20 @@ collected to the driver: results are read back from the sink.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from qaspark.functions.text import normalize_question
 from qaspark.operators.order import running_sums
+from qaspark.session import ship_package
 
 
 def file_stream(spark: SparkSession, path: str, schema=None, max_files: int | None = None,
@@ -59,14 +65,6 @@ def run_batches(df: DataFrame, step: Callable[[DataFrame, int], DataFrame], out:
     return q
 
 
-def earlier_batches(spark: SparkSession, out: str, epoch: int, schema) -> DataFrame:
-    """Rows of the sink's batches before ``epoch`` (a batch run again must
-    not see its own earlier output)."""
-    if epoch == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(out).where(F.col("batch_id") < epoch).select(*schema.names)
-
-
 def latest_batch(rows: DataFrame) -> DataFrame:
     """The newest result of a complete-mode sink."""
     newest = rows.agg(F.max("batch_id").alias("batch_id"))
@@ -75,23 +73,49 @@ def latest_batch(rows: DataFrame) -> DataFrame:
 
 # --- T1 ------------------------------------------------------------------------
 
-def dedupe_stream(replies: DataFrame, key, order, out: str, checkpoint: str) -> object:
-    """First-seen dedupe of an incoming stream (T1). In a batch the row that
-    is first by ``order`` stays for each key, then keys of earlier batches
-    are left out, however old they are. The seen-set is the sink itself;
-    keys are compared as digests, and whole rows are written to ``out`` with
-    ``question_key``. Rows without a key are not written; ``order`` should be unique."""
-    spark = replies.sparkSession
+# Exact text forms of times in the rows that pass the state operator.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _order_key(text: str) -> tuple:
+    """Order columns from their JSON form, nulls first."""
+    return tuple((v is not None, v) for v in json.loads(text, parse_float=Decimal).values())
 
-    def step(batch: DataFrame, epoch: int) -> DataFrame:
-        keyed = batch.withColumn("question_key", key).where("question_key is not null")
-        keyed = keyed.withColumn("_digest", F.sha2("question_key", 256)).withColumn("_order", F.struct(*order))
-        held = earlier_batches(spark, out, epoch, keyed.drop("_digest", "_order").schema)
-        first = keyed.groupBy("_digest").agg(F.min("_order").alias("_order"))
-        fresh = first.join(held.select(F.sha2("question_key", 256).alias("_digest")), "_digest", "left_anti")
-        return keyed.join(fresh, ["_digest", "_order"], "left_semi").drop("_digest", "_order")
 
-    return run_batches(replies, step, out, checkpoint)
+def _first_unseen(key, batches, state):
+    """A key's first row by its order columns, if the key is new."""
+    if state.exists:
+        return
+    best = None
+    for pdf in batches:
+        for order, row in zip(pdf["_order"], pdf["_row"], strict=True):
+            at = _order_key(order)
+            if best is None or at < best[0]:
+                best = at, row
+    state.update((True,))
+    yield pd.DataFrame({"_row": [best[1]]})
+
+
+def dedupe_stream(replies: DataFrame, key, order, out: str, checkpoint: str) -> object:
+    """First-seen dedupe of an incoming stream (T1). In a batch the row that
+    is first by ``order`` stays for each key, and keys of earlier batches are
+    left out, however old they are. What has been seen is one flag for each
+    key's digest in Spark's state store (RocksDB, if the session sets that
+    provider), so a batch looks up its own keys and reads no earlier rows.
+    Whole rows are written to ``out`` with ``question_key``, through the file
+    sink. Rows without a key are not written; ``order`` should be unique. A
+    key's rows of one batch pass one task as a stream; ``maxFilesPerTrigger``
+    bounds them."""
+    ship_package(replies.sparkSession)
+    keyed = replies.withColumn("question_key", key).where("question_key is not null")
+    carried = keyed.select(
+        F.sha2("question_key", 256).alias("_digest"),
+        F.to_json(F.struct(*order), {**_JSON, "ignoreNullFields": "false"}).alias("_order"),
+        F.to_json(F.struct(*keyed.columns), _JSON).alias("_row"),
+    )
+    fresh = carried.groupBy("_digest").applyInPandasWithState(_first_unseen, "_row string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    rows = fresh.select(F.from_json("_row", keyed.schema, _JSON).alias("_r")).select("_r.*")
+    return run_to_parquet(rows, out, checkpoint)
 
 
 # --- T2 / T3 -----------------------------------------------------------------------
@@ -144,30 +168,96 @@ def batch_streaks(rounds: DataFrame, key: str, order: list) -> DataFrame:
              "tail", "longest")
 
 
+_STREAK = ["n", "head", "tail", "longest"]
+
+
+def merged_streaks(parts: DataFrame, key: str) -> DataFrame:
+    """Streaks of one key over following parts (``seq`` gives their order):
+    ``n`` rounds, ``head``, ``tail`` and ``longest`` of two parts give those of
+    both, so parts merge in any grouping. ``seq`` is that of the last part."""
+    def both(a, b):
+        return F.struct(
+            (a["n"] + b["n"]).alias("n"),
+            F.when(a["head"] == a["n"], a["n"] + b["head"]).otherwise(a["head"]).alias("head"),
+            F.when(b["tail"] == b["n"], a["tail"] + b["n"]).otherwise(b["tail"]).alias("tail"),
+            F.greatest(a["longest"], b["longest"], a["tail"] + b["head"]).alias("longest"),
+        )
+
+    none = F.struct(*[F.lit(0).cast("long").alias(c) for c in _STREAK])
+    row = F.struct("seq", *[F.col(c).cast("long").alias(c) for c in _STREAK])
+    own = parts.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("p"), F.max("seq").alias("seq"))
+    return own.select(key, "seq", F.aggregate("p", none, both).alias("m")).select(key, "seq", "m.*")
+
+
 def stall_stream(rounds: DataFrame, order: list, out: str, checkpoint: str, key: str = "user_id",
-                 stall_after: int = 80) -> object:
+                 stall_after: int = 80, compact_every: int = 8) -> object:
     """Current and longest run of empty rounds per key (T5), written for the
-    keys of each batch; read with ``latest_per_key``. A batch's streaks are
-    joined to the key's last row in earlier batches: an open streak goes on
-    through the batch's head. Batches follow each other in ``order``."""
+    keys of each batch; read with ``latest_per_key``. Batches follow each
+    other in ``order``.
+
+    A batch's streaks are a part of their own in ``<out>_state``; every
+    ``compact_every`` batches the parts are merged into a snapshot with one
+    row a key. A batch reads the last snapshot and at most
+    ``compact_every - 1`` parts, whatever came before. Which ones follows from
+    its number, so a batch that is run again writes the same rows again."""
     spark = rounds.sparkSession
+    state = f"{out.rstrip('/')}_state"
+    schema = StructType([rounds.schema[key], *[StructField(c, LongType()) for c in _STREAK]])
+
+    def read(folder: str, seq: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{state}/{folder}={seq}").withColumn("seq", F.lit(seq))
 
     def step(batch: DataFrame, epoch: int) -> DataFrame:
-        now = batch_streaks(batch, key, order)
-        schema = StructType([batch.schema[key], StructField("longest", LongType()), StructField("current", LongType())])
-        held = earlier_batches(spark, out, epoch, schema)
-        if epoch:
-            held = latest_per_key(spark.read.parquet(out).where(F.col("batch_id") < epoch).select(key, "longest", "current", "batch_id"), key)
-        held = held.select(F.col(key).alias("_key"), F.col("longest").alias("_longest"), F.col("current").alias("_current"))
-        joined = now.join(held, F.col(key).eqNullSafe(F.col("_key")), "left")
-        before = F.coalesce("_current", F.lit(0))
-        current = F.when(F.col("head") == F.col("n"), before + F.col("n")).otherwise(F.col("tail"))
-        longest = F.greatest(F.coalesce("_longest", F.lit(0)), before + F.col("head"), F.col("longest"))
-        return joined.select(key, longest.alias("longest"), current.alias("current"), (longest >= stall_after).alias("stalled"))
+        batch_streaks(batch, key, order).select(*schema.names).write.mode("overwrite").parquet(f"{state}/part={epoch}")
+        compacted = epoch // compact_every * compact_every - 1
+        held = [read("part", seq) for seq in range(compacted + 1, epoch + 1)]
+        if compacted >= 0:
+            held.append(read("snapshot", compacted))
+        now = merged_streaks(reduce(DataFrame.unionByName, held), key)
+        if (epoch + 1) % compact_every == 0:
+            now.select(*schema.names).write.mode("overwrite").parquet(f"{state}/snapshot={epoch}")
+        touched = now.where(F.col("seq") == epoch)
+        return touched.select(key, "longest", F.col("tail").alias("current"), (F.col("longest") >= stall_after).alias("stalled"))
 
     return run_batches(rounds, step, out, checkpoint)
 
 
+# --- T6 ------------------------------------------------------------------------------
+
+def late_stream(rows: DataFrame, out: str, checkpoint: str, ts: str = "ts", width_s: int = 3600, delay_s: int = 3600) -> object:
+    """Rows with ``late`` (T6): a row is late if its window had ended by the
+    watermark, the latest time of all earlier batches less the delay. Both
+    kinds are kept, as ``out/batch_id=<n>/late=<true or false>``. The latest
+    time, observed while a batch is written, goes to a log with a row for each
+    batch (``<out>_state``) that carries it on, so a batch reads the entry
+    before its own and no earlier rows. A batch that is run again overwrites
+    its own folders. Rows without a time are never late."""
+    spark = rows.sparkSession
+    log = f"{out.rstrip('/')}_state/watermark"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        before = spark.read.schema("latest_us long").json(f"{log}={epoch - 1}").first()["latest_us"] if epoch else None
+        us = F.unix_micros(F.col(ts).cast("timestamp"))
+        end = (F.floor(us / F.lit(width_s * 1_000_000)) + 1) * F.lit(width_s * 1_000_000)  # of the row's window
+        mark = None if before is None else before - delay_s * 1_000_000
+        marked = batch.withColumn("_end", end).withColumn("late", F.coalesce(F.col("_end") <= F.lit(mark).cast("long"), F.lit(False)))
+        seen = Observation(f"late-{epoch}")
+        marked.drop("_end").observe(seen, F.max(us).alias("latest")).write.mode("overwrite").partitionBy("late").parquet(f"{out}/batch_id={epoch}")
+        latest = max((x for x in (before, seen.get["latest"]) if x is not None), default=None)
+        entry = spark.createDataFrame([(latest,)], "latest_us long")
+        entry.coalesce(1).write.mode("overwrite").json(f"{log}={epoch}")
+
+    q = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    q.awaitTermination()
+    return q
+
+
+def read_marked(spark: SparkSession, out: str) -> DataFrame:
+    """Rows that ``late_stream`` has written, ``late`` as a boolean; a filter
+    on it prunes the folders of the other kind."""
+    return spark.read.parquet(out).withColumn("late", F.col("late") == "true")
+
+
 # --- helpers for the registered queries -------------------------------------------
 
 def question_key(text_col: str = "text"):

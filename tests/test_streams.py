@@ -65,6 +65,79 @@ def test_streaks_across_batches_equal_a_loop(spark):
     assert all(r["stalled"] == (r["longest"] >= 4) for r in got)
 
 
+def test_a_batch_reads_its_own_rows_only(spark):
+    """Rows read and keys looked up per batch don't grow with what was seen."""
+    base = scratch_path(spark, "t-seen")
+    schema = "doc_id long, k string, at timestamp, big decimal(30,5), tags array<string>"
+    for b in range(21):
+        rows = [(10**17 + b * 10 + i, f"k{b * 7 + i}" if i else "hot", None, None, ["a", None]) for i in range(10)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    src = ST.file_stream(spark, f"{base}/src", max_files=1)
+    q = ST.dedupe_stream(src, F.col("k"), ["doc_id"], f"{base}/out", f"{base}/ckpt")
+    progress = [p for p in q.recentProgress if p["numInputRows"]]
+    assert len(progress) == 21 and {p["numInputRows"] for p in progress} == {10}
+    assert {p["stateOperators"][0]["numRowsUpdated"] for p in progress[1:]} <= set(range(10))
+    out = spark.read.parquet(f"{base}/out")
+    assert out.drop("question_key").dtypes == spark.createDataFrame([], schema).dtypes
+    keys = [r["k"] for r in out.collect()]
+    assert len(keys) == len(set(keys)) == 1 + 20 * 7 + 9
+    assert out.where("k = 'hot'").first()["doc_id"] == 10**17
+
+
+def test_streak_parts_are_compacted_and_may_run_again(spark, monkeypatch):
+    rng = random.Random(6)
+    steps = {}
+    monkeypatch.setattr(ST, "run_batches", lambda rows, step, out, ckpt, mode="append": steps.update(step=step))
+    schema = "user_id long, t long, empty boolean"
+    none = spark.createDataFrame([], schema)
+    base = scratch_path(spark, "t-parts")
+    ST.stall_stream(none, ["t"], f"{base}/out", f"{base}/ckpt", stall_after=4, compact_every=3)
+    read = []
+    own = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *p, **k: (read.append(p[0]), own(self, *p, **k))[1])
+    want: dict = {}
+    for epoch in range(8):
+        rows = [(rng.choice([None, 1, 1, 1, 2, 3]), 100 * epoch + t, rng.random() < 0.7) for t in range(25)] if epoch != 4 else []
+        for u, _, empty in rows:
+            longest, current = want.get(u, (0, 0))
+            current = current + 1 if empty else 0
+            want[u] = (max(longest, current), current)
+        for _ in range(2):  # the second run changes nothing
+            read.clear()
+            got = {r["user_id"]: (r["longest"], r["current"]) for r in steps["step"](spark.createDataFrame(rows, schema), epoch).collect()}
+            assert got == {u: want[u] for u in {u for u, _, _ in rows}}
+            names = sorted(p.rsplit("/", 1)[1] for p in read)
+            assert names == sorted([f"part={e}" for e in range(epoch // 3 * 3, epoch + 1)] + [f"snapshot={epoch // 3 * 3 - 1}"] * (epoch >= 3))
+
+
+def test_late_rows_over_more_than_a_hundred_batches(spark, tmp_path):
+    import os
+    from datetime import datetime, timedelta, timezone
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = random.Random(7)
+    t0 = datetime(2024, 3, 1, tzinfo=timezone.utc)
+    latest, want = None, {}
+    (tmp_path / "src").mkdir()
+    for b in range(104):
+        rows = [(b * 10 + i, t0 + timedelta(minutes=30 * b - rng.choice([0, 0, 20, 90, 200, 700])) if rng.random() < 0.95 else None) for i in range(3)]
+        for i, ts in rows:
+            end = ts and ts.replace(minute=0) + timedelta(hours=1)
+            want[i] = bool(ts and latest and end <= latest - timedelta(hours=1))
+        latest = max([x for _, x in rows if x] + [latest] * bool(latest), default=None)
+        at = str(tmp_path / "src" / f"{b:03d}.parquet")
+        pq.write_table(pa.table({"id": [i for i, _ in rows], "ts": pa.array([x for _, x in rows], pa.timestamp("us", "UTC"))}), at)
+        os.utime(at, (1_700_000_000 + b, 1_700_000_000 + b))
+    stream = ST.file_stream(spark, str(tmp_path / "src"), "id long, ts timestamp", max_files=1)
+    base = scratch_path(spark, "t-late")
+    ST.late_stream(stream, f"{base}/out", f"{base}/ckpt")
+    got = ST.read_marked(spark, f"{base}/out").collect()
+    assert {r["id"]: r["late"] for r in got} == want and len(got) == 312
+    assert len({r["batch_id"] for r in got}) == 104 and 0 < sum(want.values()) < 312
+
+
 def test_one_failing_case_and_list_fields(spark):
     class Picky:  # local, so that it travels to the workers by value
         def score_batch(self, pdf):
