@@ -13,13 +13,17 @@ Rules of ``extract_items`` (what the generator accepts as a batch):
 
 Strictness comes from parsing ``[`` + text + ``]`` and requiring exactly
 one element: trailing text then becomes a parse error, and ``1,2`` or an
-empty reply give a size other than one. Duplicate keys and ``NaN`` are
-parse errors here (Python's parser accepts them).
+empty reply give a size other than one. Two forms that Python's parser takes
+are taken too: ``NaN``, ``Infinity`` and ``-Infinity``, which are read as
+strings of that text (``settle_numbers``), and repeated keys, of which the
+last one counts (in expressions resolved under ``repeated_keys``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import contextlib
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 ARR = "array<variant>"
@@ -41,9 +45,39 @@ def _is_object(v: Column) -> Column:
     return _kind(v).startswith("OBJECT")
 
 
+@contextlib.contextmanager
+def repeated_keys(spark: SparkSession):
+    """DataFrames built in this block keep the last value of a repeated key
+    when they parse JSON; Spark fixes that when it resolves an expression.
+    The session's own setting is put back."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    old = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def settle_numbers(c) -> Column:
+    """JSON text with ``NaN`` and the infinities outside strings put into
+    quotes. Escapes are hidden first, so that every quote left opens or closes
+    a string, and only the parts between strings are changed. Texts without
+    these words, or with the two control characters used to hide escapes (which
+    JSON doesn't allow), stay as they are."""
+    c = _c(c)
+    hidden = F.replace(F.replace(c, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    token = r"(?<![\w.])(-?Infinity|NaN)(?![\w.])"
+    parts = F.transform(F.split(hidden, '"'), lambda x, i: F.when(i % 2 == 0, F.regexp_replace(x, token, '"$1"')).otherwise(x))
+    shown = F.replace(F.replace(F.array_join(parts, '"'), F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+    odd = (F.contains(c, F.lit("NaN")) | F.contains(c, F.lit("Infinity"))) & ~c.rlike("[\x01\x02]")
+    return F.when(odd, shown).otherwise(c)
+
+
 def strict_json(c) -> Column:
     """One complete JSON value as a variant, else null."""
-    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), _c(c), F.lit("]"))), "$", ARR)
+    c = settle_numbers(c)
+    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", ARR)
     return F.when(F.size(wrapped) == 1, F.element_at(wrapped, 1))
 
 
@@ -63,7 +97,9 @@ def extract_items(c, parsed=None) -> Column:
     c = _c(c)
     v0 = strict_json(c) if parsed is None else _c(parsed)
     as_array = F.try_variant_get(v0, "$", ARR)
-    values = F.map_values(F.from_json(c, "map<string,variant>"))
+    # values in the order of the keys' first appearance, each with its last value
+    fields = F.try_variant_get(v0, "$", "map<string,variant>")
+    values = F.transform(F.array_distinct(F.json_object_keys(settle_numbers(c))), lambda k: F.try_element_at(fields, k))
     lists = F.filter(values, lambda v: _is_array(v))
     from_object = F.when(F.size(lists) > 0, F.try_variant_get(F.element_at(lists, 1), "$", ARR)).otherwise(
         F.array(v0)

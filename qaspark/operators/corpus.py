@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaspark.functions.replies import _is_object, extract_items, field_text, strict_json
+from qaspark.functions.replies import _is_object, extract_items, field_text, repeated_keys, strict_json
 from qaspark.functions.text import normalize_question, strip_fence
 from qaspark.operators.order import reindex
 
@@ -22,8 +22,9 @@ def reply_items(df: DataFrame, raw: str = "raw", keep=("id", "requested_category
     null for a usable item."""
     # parse once per reply in its own projection, then branch on the result
     text = df.select(*keep, strip_fence(raw).alias("_qs_text"))
-    parsed = text.select(*keep, "_qs_text", strict_json("_qs_text").alias("_qs_v0"))
-    items = parsed.select(*keep, F.posexplode_outer(extract_items("_qs_text", "_qs_v0")).alias("item_pos", "item"))
+    with repeated_keys(df.sparkSession):
+        parsed = text.select(*keep, "_qs_text", strict_json("_qs_text").alias("_qs_v0"))
+        items = parsed.select(*keep, F.posexplode_outer(extract_items("_qs_text", "_qs_v0")).alias("item_pos", "item"))
     fields = items.select(
         *keep,
         F.col("item_pos").cast("long").alias("item_pos"),

@@ -95,6 +95,27 @@ def replies(spark: SparkSession, sf_dir: str, qa_df: DataFrame | None = None) ->
     return base.select("id", F.col("category").alias("requested_category"), raw.alias("raw"))
 
 
+def lenient_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that only a lenient parser takes, one per Q&A row, shaped by
+    ``id % 5``: a repeated key, ``NaN`` as a value, infinities beside strings
+    that hold such words, an object whose list key comes again, and ``NaN``
+    inside text around the array."""
+    q, a = (F.substring(F.to_json(F.struct(F.col(c).alias("x"))), 6, 2**30) for c in ("question", "answer"))  # "..."}
+    head = F.concat(F.lit('{"category":"'), F.col("category"), F.lit('","question":'))
+    end = F.expr("'}'")
+    q, a = (F.regexp_replace(x, r"\}$", "") for x in (q, a))
+    item = F.concat(head, q, F.lit(',"answer":'), a, end)
+    k = F.col("id") % 5
+    raw = (
+        F.when(k == 0, F.concat(F.lit('[{"category":"none","question":"first",'), F.substring(item, 2, 2**30), F.lit("]")))
+        .when(k == 1, F.concat(F.lit("["), head, q, F.lit(',"answer":NaN}]')))
+        .when(k == 2, F.concat(F.lit('{"n":[-Infinity,Infinity],"answer":"NaN, [NaN] \\" Infinity","question":'), q, F.lit("}")))
+        .when(k == 3, F.concat(F.lit('{"items":[1],"rest":['), item, F.lit('],"items":NaN}')))
+        .otherwise(F.concat(F.lit('It is NaN: [{"score":NaN,'), F.substring(item, 2, 2**30), F.lit("] or Infinity")))
+    )
+    return qa(spark, sf_dir).select("id", F.col("category").alias("requested_category"), raw.alias("raw"))
+
+
 # The nine categories of the conversation-derived Q&A rows.
 QA_CATEGORIES = tuple(f"cat{i}" for i in range(N_QA_CATEGORIES))
 

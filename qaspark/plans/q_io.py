@@ -136,49 +136,45 @@ def append_checkpoint(spark, sf_dir):
     path = scratch_path(spark, "checkpoint")
     log = D.score_log(spark, sf_dir).withColumn("scores", F.create_map("metric", "score"))
     log = log.withColumn("question", F.concat(F.lit("case "), F.col("idx").cast("string")))
-    for run in ("baseline", "finetuned"):
-        IO.append_checkpoint(IO.checkpoint_lines(log.where(F.col("run") == run)), path)
+    for commit, run in ((1, "baseline"), (2, "finetuned"), (2, "finetuned")):  # the last batch is run again
+        IO.append_checkpoint(IO.checkpoint_lines(log.where(F.col("run") == run)), path, commit)
     entries = IO.read_checkpoint(spark, path, duplicates="count")
     return entries.select("idx", F.explode("scores").alias("metric", "score"))
 
 
 # Hand-written checkpoint lines (N6): malformed, truncated, no idx, null
-# scores, mixed score types, the same idx twice.
+# scores, mixed score types, the same idx again with and without a write time.
 BAD_LINES = (
     "not json",
     '{"idx": 5, "scores": {"A": 0.',
     '{"scores": {"A": 1.0}}',
     '{"idx": 2, "scores": null}',
     '{"idx": 4, "scores": {"A": 0.5, "B": "0.5", "C": null, "D": true}}',
-    '{"idx": 7, "scores": {"A": 0.1}, "written_at": "2024-01-01T00:00:00"}',
     '{"idx": 7, "scores": {"A": 0.9}, "written_at": "2024-01-02T00:00:00"}',
+    '{"idx": 7, "scores": {"A": 0.1}, "written_at": "2024-01-01T00:00:00"}',
+    '{"idx": 9, "scores": {"A": 0.2}}',
+    '{"idx": 9, "scores": {"A": 0.3}}',
 )
 
 
-def checkpoint_fixture(spark, sf_dir):
-    """Checkpoint text lines: those of the whole score log, and the
-    hand-written ones, which use idx values of the log again."""
-    log = D.score_log(spark, sf_dir)
-    log = log.select("idx", F.col("metric").alias("question"), F.create_map("metric", "score").alias("scores"))
-    return IO.checkpoint_lines(log), spark.createDataFrame([(s,) for s in BAD_LINES], "value string")
-
-
 @register(
     "read_checkpoint",
-    with_(SCORE_LOG) + """select idx, metric, score from score_log where idx % 3 = 0
-union all select * from (values (2, null, null), (4, 'A', 0.5), (4, 'D', 1.0), (7, 'A', 0.9)) v(idx, metric, score)""",
+    with_(SCORE_LOG) + """select idx, metric, score from score_log where idx not in (2, 4, 7, 9)
+union all select * from (values (2, null, null), (4, 'A', 0.5), (4, 'D', 1.0), (7, 'A', 0.9), (9, 'A', 0.3)) v(idx, metric, score)""",
 )
 def read_checkpoint(spark, sf_dir):
-    """Both checkpoints are written and read whole; of the log's entries the
-    SQL asks for those with ``idx % 3 = 0``."""
-    read = []
-    for lines, name in zip(checkpoint_fixture(spark, sf_dir), ("checkpoint", "checkpoint-lines"), strict=True):
-        path = scratch_path(spark, name)
-        IO.append_checkpoint(lines, path)
-        read.append(IO.read_checkpoint(spark, path))
-    log, extra = read
-    entries = log.where(F.col("idx") % 3 == 0).unionByName(extra)
-    return entries.select("idx", F.explode_outer("scores").alias("metric", "score"))
+    """The whole score log, written twice as in a run that starts anew, then
+    lines that name some of its cases again; the last line of a case wins,
+    and a commit run again leaves one copy."""
+    path = scratch_path(spark, "checkpoint")
+    log = D.score_log(spark, sf_dir).select("idx", F.col("metric").alias("question"), F.col("metric"), F.col("score"))
+    early = log.withColumn("scores", F.create_map("metric", F.lit(-1.0)))
+    final = log.withColumn("scores", F.create_map("metric", "score"))
+    bad = spark.createDataFrame([(s,) for s in BAD_LINES], "value string").coalesce(1)
+    for commit, lines in enumerate((IO.checkpoint_lines(early), IO.checkpoint_lines(final), bad)):
+        IO.append_checkpoint(lines, path, commit)
+    IO.append_checkpoint(bad, path, 2)
+    return IO.read_checkpoint(spark, path).select("idx", F.explode_outer("scores").alias("metric", "score"))
 
 
 @register("require_columns", with_(QA) + "select id, category from qa")

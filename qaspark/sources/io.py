@@ -93,12 +93,36 @@ def checkpoint_lines(entries: DataFrame, idx: str = "idx", question: str = "ques
     return entries.select(F.to_json(F.struct(*fields)).alias("value"))
 
 
-def append_checkpoint(lines: DataFrame, path: str) -> None:
-    """Append a batch of checkpoint lines (S6); earlier lines stay."""
-    lines.write.mode("append").text(path)
+def append_checkpoint(lines: DataFrame, path: str, commit: int | None = None) -> None:
+    """Append a batch of checkpoint lines (S6); earlier lines stay. With
+    ``commit``, the batch's number in the log, the lines go to a folder of
+    that number, and a batch that is run again replaces its own lines. A log
+    is written with numbers throughout or without."""
+    if commit is None:
+        lines.write.mode("append").text(path)
+    else:
+        lines.write.mode("overwrite").text(f"{path.rstrip('/')}/commit={int(commit)}")
+
+
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` and ``order`` of an append-only log's lines: the number of
+    the commit (else the time at which the file was last changed), then the
+    file's part number and name, then the place in the file."""
+    lines = spark.read.text(path)
+    commit = F.col("commit").cast("long") if "commit" in lines.columns else F.lit(None).cast("long")
+    meta = "_metadata."
+    order = F.struct(
+        F.coalesce(commit, F.lit(-1)).alias("commit"),
+        F.when(commit.isNull(), F.unix_micros(meta + "file_modification_time")).alias("changed_us"),
+        F.expr("try_cast(nullif(regexp_extract(_metadata.file_name, '^part-([0-9]+)', 1), '') as bigint)").alias("part"),
+        F.col(meta + "file_path").alias("file"),
+        F.col(meta + "file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return lines.select("value", order.alias("order"))
 
 
-def parse_checkpoint(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_checkpoint(lines: DataFrame, value: str = "value", keep=()) -> DataFrame:
     """Checkpoint lines to ``idx, question, written_at, scores``.
     Lines that are not JSON objects or carry no whole-number ``idx`` vanish;
     ``"scores": null`` keeps the case as done with no scores; only numeric
@@ -118,6 +142,7 @@ def parse_checkpoint(lines: DataFrame, value: str = "value") -> DataFrame:
     scores = F.transform_values(kept, lambda k, x: F.try_variant_get(x, "$", "double"))
     idx_num = F.try_variant_get(v, "$.idx", "double")
     out = lines.select(
+        *keep,
         F.try_variant_get(v, "$.idx", "bigint").alias("idx"),
         idx_kind.alias("_k"),
         idx_num.alias("_kv"),
@@ -135,15 +160,15 @@ def parse_checkpoint(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_checkpoint(spark: SparkSession, path: str, duplicates: str = "latest") -> DataFrame:
     """Read a checkpoint folder (S3). ``duplicates="latest"`` keeps one entry
-    per idx, the one with the greatest ``written_at`` (a partial ``max_by``
-    aggregate, safe for hot keys); ``"count"`` keeps every line, as a
-    re-read of an append-only log does."""
-    entries = parse_checkpoint(spark.read.text(path))
+    per idx, the one with the greatest ``written_at``, and of those without
+    it, or with the same, the last line of the log (a partial ``max_by``
+    aggregate, safe for hot keys); ``"count"`` keeps every line, as a re-read
+    of an append-only log does."""
+    entries = parse_checkpoint(log_lines(spark, path), keep=("order",))
     if duplicates == "count":
-        return entries
-    latest = entries.groupBy("idx").agg(
-        F.max_by(F.struct("question", "written_at", "scores"), F.coalesce(F.col("written_at"), F.lit(""))).alias("e")
-    )
+        return entries.drop("order")
+    last = F.struct(F.coalesce(F.col("written_at"), F.lit("")), "order")
+    latest = entries.groupBy("idx").agg(F.max_by(F.struct("question", "written_at", "scores"), last).alias("e"))
     return latest.select("idx", "e.question", "e.written_at", "e.scores")
 
 

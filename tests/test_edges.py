@@ -1,5 +1,7 @@
 """Hand-written edge rows (FIXTURES.md, 'Hand-written edge rows')."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,12 +206,72 @@ def test_checkpoint_idx_forms(spark):
     assert sorted(r["idx"] for r in IO.parse_checkpoint(df).collect()) == [3, 4]
 
 
-def test_read_checkpoint_writes_the_whole_log(spark):
-    from qaspark.plans import derived, q_io
+def test_last_line_of_a_log_wins(spark, tmp_path):
+    """Without write times: later commits, later files, later lines; a commit
+    that is written again replaces itself."""
+    line = lambda i, s: (f'{{"idx": {i}, "scores": {{"A": {s}}}}}',)
+    commits = [[line(i % 50, i) for i in range(400)], [line(i % 30, 1000 + i) for i in range(90)], [line(3, 7)]]
+    path = str(tmp_path / "log")
+    for n, rows in enumerate(commits):
+        for _ in range(2):
+            # 13 commits' worth of numbers, so that 10 doesn't come before 2
+            IO.append_checkpoint(spark.createDataFrame(rows, "value string").repartitionByRange(3, F.monotonically_increasing_id()) if n == 1 else
+                                 spark.createDataFrame(rows, "value string").coalesce(1), path, 2 + 8 * n)
+    want = {}
+    for n in (0, 2):
+        for (text,) in commits[n]:
+            e = json.loads(text)
+            want[e["idx"]] = e["scores"]
+    got = {r["idx"]: r["scores"] for r in IO.read_checkpoint(spark, path).collect()}
+    for i in range(50):
+        if i == 3 or i >= 30:
+            assert got[i] == want[i]
+        else:
+            assert got[i]["A"] >= 1000
+    assert IO.read_checkpoint(spark, path, "count").count() == 491
+
+
+def test_lines_of_one_appended_file_keep_their_order(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text("".join(f'{{"idx": {i % 7}, "scores": {{"A": {i}}}}}\n' for i in range(900)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = {r["idx"]: r["scores"]["A"] for r in IO.read_checkpoint(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i % 7: float(i) for i in range(893, 900)}
+
+
+def test_lenient_replies_equal_python(spark):
+    texts = [
+        '[{"a": 1, "a": 2}]', '{"l": [1], "m": [2], "l": 3}', '{"l": 0, "m": [2], "l": [3]}', "[NaN, -Infinity, Infinity]", '[{"a": NaN}]',
+        '["NaN", "x \\" NaN", "\\\\", NaN]', 'say NaN [{"q": Infinity}] "x', "NaN", "[nan]", "[+Infinity]", "[xNaN]", '{"a": {"b": 1, "b": [NaN]}}',
+        '["a NaN, [NaN] b", {"c": "Infinity"}]', '[{"a": [1], "a": "Infinity"}, NaN]', "[1NaN]", '{"NaN": [NaN]}', "[-NaN]", "[]", "", '{"a": "[1]", "b": [2]}',
+    ]
 
-    sf_dir = "/root/testdata/sf0.001"
-    lines, extra = q_io.checkpoint_fixture(spark, sf_dir)
-    log = derived.score_log(spark, sf_dir)
-    assert lines.count() == log.count() and extra.count() == len(q_io.BAD_LINES)
-    idx = {r["idx"] for r in IO.parse_checkpoint(lines).select("idx").collect()}
-    assert idx == {r["idx"] for r in log.select("idx").collect()} and any(i % 3 for i in idx)
+    def plain(x):
+        if isinstance(x, float) and (x != x or x in (float("inf"), float("-inf"))):
+            return {"inf": "Infinity", "-inf": "-Infinity"}.get(str(x), "NaN")
+        return [plain(y) for y in x] if isinstance(x, list) else {k: plain(y) for k, y in x.items()} if isinstance(x, dict) else x
+
+    def python(text):
+        try:
+            r = json.loads(text)
+            if isinstance(r, list):
+                return r
+            return next((v for v in r.values() if isinstance(v, list)), [r]) if isinstance(r, dict) else []
+        except json.JSONDecodeError:
+            a, b = text.find("["), text.rfind("]") + 1
+            try:
+                r = json.loads(text[a:b]) if a != -1 and b > a else []
+                return r if isinstance(r, list) else []
+            except json.JSONDecodeError:
+                return []
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    old = spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false")
+    with R.repeated_keys(spark):
+        got = df.select("i", F.transform(R.extract_items("t"), lambda v: F.to_json(v)).alias("j"))
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == old
+    for r in got.collect():
+        assert [json.loads(j) for j in r["j"]] == plain(python(texts[r["i"]])), texts[r["i"]]
