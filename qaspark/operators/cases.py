@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, MapType, NumericType, StringType, VariantType
 
 from qaspark.functions.text import to_text
 
@@ -21,9 +22,21 @@ C_CANDIDATES = ("context", "retrieval_context", "reference", "passage", "backgro
 CONTEXT_COVERAGE = 0.8
 
 
-def _truthy(c: Column) -> Column:
-    """Python truthiness of a value read from a row: not null, not empty."""
-    return c.isNotNull() & (F.length(c.cast("string")) > 0)
+def _truthy(c: Column, kind: DataType) -> Column:
+    """Python truth of a value read from a row: not null, not empty, not zero
+    and not false."""
+    if isinstance(kind, (NumericType, BooleanType)):
+        full = c.cast("double") != 0 if isinstance(kind, NumericType) else c
+    elif isinstance(kind, (ArrayType, MapType)):
+        full = F.size(c) > 0
+    elif isinstance(kind, VariantType):
+        text = F.to_json(c)  # of a value without blanks
+        full = ~text.isin("null", "false", '""', "[]", "{}") & ~text.rlike(r"^-?0(\.0*)?([eE][-+]?\d+)?$")
+    elif isinstance(kind, (StringType, BinaryType)):
+        full = F.length(c) > 0
+    else:
+        full = F.lit(True)
+    return c.isNotNull() & F.coalesce(full, F.lit(False))
 
 
 def detect_columns(df: DataFrame, order: str | None = None, q_candidates=Q_CANDIDATES,
@@ -36,7 +49,7 @@ def detect_columns(df: DataFrame, order: str | None = None, q_candidates=Q_CANDI
     if not present:
         return None, None, None
     first = df.orderBy(order).limit(1) if order else df.limit(1)
-    row = first.select(*[_truthy(F.col(c)).alias(c) for c in present]).collect()
+    row = first.select(*[_truthy(F.col(c), df.schema[c].dataType).alias(c) for c in present]).collect()
     flags = row[0].asDict() if row else {}
 
     def pick(cands):

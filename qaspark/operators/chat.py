@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaspark.functions.text import strip_ws
@@ -112,6 +112,54 @@ def response_spans(text, instruction_part: str, response_part: str) -> Column:
     return F.transform(after, lambda p: F.element_at(F.split(p, _quote(instruction_part)), 1))
 
 
+def span_offsets(text, instruction_part: str, response_part: str) -> Column:
+    """``array<struct<start, end>>`` of the response spans in characters (from
+    0, end exclusive)."""
+    parts = F.split(_c(text), _quote(response_part))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+
+    def add(acc, p):
+        span = F.struct(acc["at"].alias("start"), (acc["at"] + F.length(F.element_at(F.split(p, _quote(instruction_part)), 1))).alias("end"))
+        # the piece before the first marker is no response
+        return F.struct((acc["at"] + F.length(p) + F.lit(len(response_part))).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    spans = F.aggregate(parts, zero, add)["spans"]
+    return F.slice(spans, 2, F.greatest(F.size(spans) - 1, F.lit(0)))
+
+
+def word_tokens(df: DataFrame, text: str, id_col: str = "id") -> DataFrame:
+    """``id, token_no, start, end`` of the runs of characters that aren't
+    blanks, tabs or line breaks: a tokenizer for ``response_mask``."""
+    pieces = F.split(F.col(text), "(?<=[ \\t\\n\\r])(?=[^ \\t\\n\\r])")  # a word with the blanks behind it
+    each = df.select(F.col(id_col).alias("_id"), F.posexplode(pieces).alias("_i", "_w"))
+    before = Window.partitionBy("_id").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("_w")).over(before), F.lit(0)).cast("int")
+    word = F.regexp_replace("_w", "[ \\t\\n\\r]+$", "")
+    own = each.select(F.col("_id").alias(id_col), F.col("_i").cast("long").alias("token_no"), start.alias("start"), F.length(word).alias("_n"))
+    return own.where("_n > 0").select(id_col, "token_no", "start", (F.col("start") + F.col("_n")).alias("end"))
+
+
+# Characters of a position bin of ``response_mask``.
+MASK_BIN = 512
+
+
+def response_mask(tokens: DataFrame, spans: DataFrame, id_col: str = "id", bin_chars: int = MASK_BIN) -> DataFrame:
+    """``id, mask``: for each chat an array with 1 for every token that lies
+    wholly in a response span, else 0 (F20). ``tokens``: ``id, token_no, start,
+    end`` of any tokenizer; ``spans``: ``id, start, end``, not overlapping. An
+    interval join by bins of the position: a token has one bin, a span those
+    it covers, so a long chat's tokens meet only the spans near them. Chats
+    without spans get zeros; chats without tokens have no row."""
+    own = tokens.select(F.col(id_col).alias("_id"), "token_no", F.col("start").alias("_s"), F.col("end").alias("_e"),
+                        F.floor(F.col("start") / F.lit(bin_chars)).alias("_bin"))
+    full = spans.where("start < end").select(F.col(id_col).alias("_span_id"), "start", "end", F.explode(F.sequence(
+        F.floor(F.col("start") / F.lit(bin_chars)), F.floor((F.col("end") - 1) / F.lit(bin_chars)))).alias("_span_bin"))
+    inside = (own["_id"].eqNullSafe(full["_span_id"])) & (own["_bin"] == full["_span_bin"]) & (F.col("_s") >= F.col("start")) & (F.col("_e") <= F.col("end"))
+    marked = own.join(full, inside, "left").select("_id", F.struct("token_no", F.col("start").isNotNull().cast("int").alias("on")).alias("t"))
+    out = marked.groupBy("_id").agg(F.array_sort(F.collect_list("t")).alias("t"))
+    return out.select(F.col("_id").alias(id_col), F.col("t.on").alias("mask"))
+
+
 # A prompt template of our own for generation requests (F8).
 PROMPT_TEMPLATE = (
     "Generate {n} question-and-answer pair(s) about '{category}'. Return a JSON array of objects "

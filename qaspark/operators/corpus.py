@@ -10,10 +10,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from qaspark.functions.replies import _is_object, extract_items, field_text, repeated_keys, strict_json
 from qaspark.functions.text import normalize_question, strip_fence
 from qaspark.operators.order import reindex
+from qaspark.operators.select import first_rows
 
 
 def reply_items(df: DataFrame, raw: str = "raw", keep=("id", "requested_category")) -> DataFrame:
@@ -88,7 +90,10 @@ def new_questions(new: DataFrame, seen: DataFrame, key: str = "question") -> Dat
 
 
 def cap_to_target(df: DataFrame, target: int, order: str = "id") -> DataFrame:
-    """First ``target`` rows in ``order``."""
+    """First ``target`` rows in ``order`` (L5): by histograms and a filter if
+    the order is a whole number, else by ranks over ranges."""
+    if isinstance(df.schema[order].dataType, IntegralType):
+        return first_rows(df, target, F.col(order), [F.col(order)])
     ranked = reindex(df, [order], "_qs_rank")
     return ranked.where(F.col("_qs_rank") <= target).drop("_qs_rank")
 
@@ -98,12 +103,16 @@ def merge_batches(*batches: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), batches)
 
 
-def top_up(held: DataFrame, candidates: DataFrame, target: int, key: str = "question",
-           order: str = "id") -> DataFrame:
+def top_up(held: DataFrame, candidates: DataFrame, target: int | None = None, key: str = "question",
+           order: str = "id", extra: int | None = None) -> DataFrame:
     """Append new, unseen, first-seen candidates to the held corpus until
-    ``target`` rows, then renumber ids 1..n (U2 = J2 + W3 + U1 + L5 + W4).
-    Held rows come first and all stay; candidates follow in their own order."""
-    fresh = cap_to_target(dedupe_first(new_questions(candidates, held, key), key, order), max(0, target - held.count()), order)
+    ``target`` rows, or ``extra`` of them, then renumber ids 1..n (U2 = J2 +
+    W3 + U1 + L5 + W4). Held rows come first and all stay; candidates follow
+    in their own order."""
+    if (target is None) == (extra is None):
+        raise ValueError("give either target or extra")
+    more = max(0, target - held.count()) if extra is None else extra
+    fresh = cap_to_target(dedupe_first(new_questions(candidates, held, key), key, order), more, order)
     both = merge_batches(
         held.withColumn("_qs_src", F.lit(0)),
         fresh.select(*held.columns).withColumn("_qs_src", F.lit(1)),

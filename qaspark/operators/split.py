@@ -107,12 +107,13 @@ def seeded_shuffle(df: DataFrame, id_col: str = "id", seed: int = DEFAULT_SEED)
 
 
 def eval_sample(df: DataFrame, n: int, id_col: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
-    """``n`` rows without replacement, all rows if there are fewer (L2).
-    The rank is built over ranges, so no task gathers the sample."""
-    from qaspark.operators.order import reindex
+    """``n`` rows without replacement, all rows if there are fewer (L2): the
+    first ones in seeded order. The bound is found by histograms over the
+    seeded key's first 60 bits, and the rows are filtered, not sorted."""
+    from qaspark.operators.select import first_rows
 
-    keyed = df.withColumn("_qs_key", seeded_key(id_col, seed))
-    return reindex(keyed, ["_qs_key", id_col], "_qs_rank").where(F.col("_qs_rank") <= n).drop("_qs_key", "_qs_rank")
+    key = F.conv(F.substring(seeded_key(id_col, seed), 1, 15), 16, 10).cast("long")
+    return first_rows(df, n, key, [seeded_key(id_col, seed), F.col(id_col)])
 
 
 def split_leakage(split_df: DataFrame, held_out: str = "golden_eval", train: str = "train",

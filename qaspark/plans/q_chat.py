@@ -108,6 +108,37 @@ def response_spans(spark, sf_dir):
     return out.select("id", (F.col("p") + 1).cast("long").alias("span_no"), "span")
 
 
+def _n_words(expr: str) -> str:
+    return f"len(regexp_extract_all({expr}, '[^ \t\n\r]+'))"
+
+
+def _second_turn():
+    return F.array(CH.message("user", F.lit("Which category is this?")), CH.message("assistant", F.col("category")))
+
+
+_ASK = [("user", "'Which category is this?'"), ("assistant", "category")]
+_CUT = _sql_lit(CH.TURN_TEMPLATE.response_part())
+
+
+@register(
+    "response_mask",
+    with_(QA) + f""", t as (select id, category, answer, {_render_sql(CH.TURN_TEMPLATE, _FULL + _ASK)} as text from qa),
+p as (select id, string_split(text, {_CUT}) as p, {strip('answer')} || {_CLOSE} as one, category || {_CLOSE} as two from t),
+n as (select id, {_n_words('p[1] || ' + _CUT)} as a, {_n_words('one')} as b,
+        {_n_words('substr(p[2], len(one) + 1) || ' + _CUT)} as c, {_n_words('two')} as d from p)
+select id, repeat('0', a) || repeat('1', b) || repeat('0', c) || repeat('1', d) as mask, b + d as n_on from n""",
+)
+def response_mask(spark, sf_dir):
+    """Word tokens of two-turn chats, and which of them are answers."""
+    qa = D.qa(spark, sf_dir)
+    chats = qa.select("id", CH.render_chat(F.concat(CH.chat_messages(), _second_turn()), CH.TURN_TEMPLATE).alias("text"))
+    spans = CH.span_offsets("text", CH.TURN_TEMPLATE.instruction_part(), CH.TURN_TEMPLATE.response_part())
+    spans = chats.select("id", F.explode(spans).alias("s")).select("id", "s.start", "s.end")
+    masks = CH.response_mask(CH.word_tokens(chats, "text"), spans)
+    return masks.select("id", F.array_join(F.col("mask").cast("array<string>"), "").alias("mask"),
+                        F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_on"))
+
+
 @register(
     "build_prompts",
     with_(QA) + "select distinct category, replace("

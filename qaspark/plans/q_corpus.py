@@ -186,7 +186,7 @@ def merge_batches(spark, sf_dir):
     return C.merge_batches(a, b)
 
 
-_TOPUP_TARGET = 600
+_TOPUP_SHARE = 10  # a tenth of the candidates' number is added
 
 
 @register(
@@ -200,12 +200,13 @@ _TOPUP_TARGET = 600
 both_ as (select 0 as src, id, category, question, answer from qa
           union all select 1, id, category, question, answer
           from (select *, row_number() over (order by id) as nth from fresh) n
-          where nth <= {_TOPUP_TARGET} - (select count(*) from qa))
+          where nth <= (select count(*) // {_TOPUP_SHARE} from qa_docs))
 select cast(row_number() over (order by src, id) as bigint) as id, category, question from both_""",
 )
 def top_up(spark, sf_dir):
     held = D.qa(spark, sf_dir)
-    return C.top_up(held, D.qa_docs(spark, sf_dir), _TOPUP_TARGET).select("id", "category", "question")
+    docs = D.qa_docs(spark, sf_dir)
+    return C.top_up(held, docs, extra=docs.count() // _TOPUP_SHARE).select("id", "category", "question")
 
 
 @register(

@@ -8,6 +8,7 @@ from qaspark.operators import cases as K
 from qaspark.operators import compare as CMP
 from qaspark.operators import score as SC
 from qaspark.operators import summary as SM
+from qaspark.operators import waves as W
 from qaspark.plans import derived as D
 from qaspark.plans.registry import register
 from qaspark.plans.sqltext import ANSWERS, QA, QA_DOCS, SCORE_LOG, WS_SQL, answers_cte, with_
@@ -94,6 +95,24 @@ def detect_columns(spark, sf_dir):
     return spark.createDataFrame([(q, a, c)], "question_key string, answer_key string, context_key string")
 
 
+@register(
+    "detect_columns_falsy",
+    with_(QA, ANSWERS) + """, f as (select * from answers order by idx limit 1)
+select case when (select coalesce(question, '') from f) <> '' then 'prompt' end as question_key,
+       case when (select coalesce(expected_answer, '') from f) <> '' then 'response' end as answer_key,
+       case when (select count(*) from f) > 0 then 'background' end as context_key""",
+)
+def detect_columns_falsy(spark, sf_dir):
+    """Columns of earlier rank that hold zero, false, or an empty list, map
+    or text are passed over."""
+    rows = D.answers(spark, sf_dir).select(
+        "idx", F.lit(0).alias("question"), F.lit(0.0).alias("input"), F.lit("").alias("query"), F.col("question").alias("prompt"),
+        F.array().cast("array<string>").alias("answer"), F.lit(False).alias("output"), F.col("expected_answer").alias("response"),
+        F.create_map().cast("map<string,string>").alias("context"), F.lit(None).cast("string").alias("reference"), F.array("idx").alias("background"))
+    q, a, c = K.detect_columns(rows, order="idx")
+    return spark.createDataFrame([(q, a, c)], "question_key string, answer_key string, context_key string")
+
+
 @register(
     "answer_rows",
     with_(QA, ANSWERS) + "select idx, question, expected_answer, generated_answer, context from answers",
@@ -171,6 +190,19 @@ def score_cases(spark, sf_dir):
     return _scores(spark, sf_dir)
 
 
+@register("score_with", SCORES + "select idx, metric, score, error from scores where metric = 'TokenRecall'")
+def score_with(spark, sf_dir):
+    """Batch scoring in waves: the first run ends after one wave, the second
+    one scores what the journal doesn't hold."""
+    cases, _ = _cases(spark, sf_dir)
+    work = K.scoring_worklist(cases, [SC.TOKEN_RECALL])
+    journal = scratch_path(spark, "journal")
+    wave = -(-cases.count() // 3)
+    for most in (1, None):
+        W.score_in_waves(work, [SC.TOKEN_RECALL], SC.TokenRecallBatchScorer, journal, wave, max_waves=most)
+    return W.read_journal(spark, journal).select("idx", "metric", "score", "error")
+
+
 @register(
     "failed_cases",
     SCORES + """select cast(coalesce(sum(case when any_error and n_scored = 0 then 1 else 0 end), 0) as bigint) as n_failed,
