@@ -21,8 +21,8 @@ score is near 0; extra columns are not read.
 
 from __future__ import annotations
 
+import functools
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +42,7 @@ SAMPLE_PER_CLASS, SAMPLE_CHARS = 2_500, 6_000
 # Part of the sample that is kept from training and calibrates the scores.
 CALIBRATED = 0.25
 STEPS, RATE, DECAY, FLOOR = 80, 0.3, 0.01, 0.2
+POINTS = 1 << 18  # characters that are hashed at once
 _WORD = re.compile(r"\w+")
 
 
@@ -49,11 +50,70 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def word_ngrams(word: str) -> list[int]:
-    """Buckets of a word's n-grams and of the whole word."""
-    w = f"<{word}>".encode("utf-32-le", "surrogatepass")
-    parts = {w} | {w[i : i + 4 * n] for n in NGRAMS for i in range(0, len(w) - 4 * n + 1, 4)}
-    return [zlib.crc32(p) % BUCKETS for p in sorted(parts)]
+@functools.cache
+def _in_word() -> np.ndarray:
+    """For each code point, whether it belongs to a word (``\\w``)."""
+    out = np.zeros(0x110000, bool)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    out[np.frombuffer("".join(re.findall(r"\w", every)).encode("utf-32-le"), np.uint32)] = True
+    return out
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _grams(points: np.ndarray, start: np.ndarray, size: np.ndarray):
+    """Buckets of the n-grams of words given by their places: for each n the
+    buckets and the words they are of; at last each whole word's bucket. All
+    n-grams are hashed at once, by a polynomial over the code points of the
+    words between boundary marks."""
+    n_words = len(start)
+    padded = size + 2
+    begin = np.cumsum(padded) - padded
+    total = int(padded.sum())
+    of = np.repeat(np.arange(n_words), padded)
+    place = np.arange(total) - begin[of]
+    chars = points[np.clip(start[of] + place - 1, 0, len(points) - 1)].astype(np.uint64)
+    chars[begin], chars[begin + padded - 1] = 1, 2
+    left = padded[of] - place  # code points from here to the word's end
+    h = chars + np.uint64(1)
+    out = []
+    for n in range(2, max(NGRAMS) + 1):
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + chars[n - 1 :]
+        if n in NGRAMS:
+            whole = np.flatnonzero(left[: len(h)] >= n)
+            out.append((_mix(h[whole] + np.uint64(n)), of[whole]))
+    power = np.full(int(padded.max()), np.uint64(0xC2B2AE3D27D4EB4F))
+    power = np.multiply.accumulate(power)
+    out.append((_mix(np.add.reduceat((chars + np.uint64(7)) * power[place], begin)), np.arange(n_words)))
+    return out
+
+
+def word_scores(points: np.ndarray, start: np.ndarray, size: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Mean score of each word's n-grams, ``POINTS`` code points at a time."""
+    out = []
+    upto = np.cumsum(size + 2)
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] + POINTS)))
+        total, n = np.zeros(to - at), np.zeros(to - at)
+        for bucket, of in _grams(points, start[at:to], size[at:to]):
+            total += np.bincount(of, scores[bucket], to - at)
+            n += np.bincount(of, minlength=to - at)
+        out.append(total / n)
+        at = to
+    return np.concatenate(out) if out else np.zeros(0)
+
+
+def _words(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], _in_word()[points].view(np.int8), [0]))))
+    return edge[::2], edge[1::2] - edge[::2]
 
 
 class Bags:
@@ -72,10 +132,11 @@ class Bags:
         self.words, self.doc, self.bag = (np.array(x, np.int64) for x in (words, doc, bag))
         self.doc_of_bag = np.zeros(n_bags, np.int64)
         self.doc_of_bag[self.bag] = self.doc
-        grams = [word_ngrams(w) for w in vocabulary]
-        self.word_of_gram = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.grams = np.array([b for g in grams for b in g], np.int64)
-        self.n_grams = np.array([len(g) for g in grams], np.float64)
+        size = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary))
+        grams = _grams(_code_points("".join(vocabulary)), np.cumsum(size) - size, size) if len(size) else []
+        self.grams = np.concatenate([b for b, _ in grams] or [np.zeros(0, np.int64)])
+        self.word_of_gram = np.concatenate([w for _, w in grams] or [np.zeros(0, np.int64)])
+        self.n_grams = np.bincount(self.word_of_gram, minlength=len(size)).astype(np.float64)
 
 
 def gram_scores(state: dict) -> np.ndarray:
@@ -155,53 +216,66 @@ def train(texts: list[str], labels: list[int], share: float | None = None) -> di
     scores, bias = _fit_vectors(fitted, y[~apart])
     model = {"scores": scores, "bias": bias, "curve": np.array([1.0, 0.0, 0.0])}
     if apart.any() and len(set(y[apart])) == 2:
-        words = _WordScores(scores)
-        features = np.array([bag_features(t, words, bias) for t, a in zip(texts, apart, strict=True) if a])
+        features = np.stack(bag_features([t for t, a in zip(texts, apart, strict=True) if a], scores, bias)[:2], 1)
         model["curve"] = _curve(features, y[apart], y.mean() if share is None else share)
     return model
 
 
-class _WordScores(dict):
-    """Word -> mean score of its n-grams, emptied when it grows too large."""
-
-    def __init__(self, scores: np.ndarray):
-        super().__init__()
-        self._scores = scores
-
-    def __missing__(self, word: str) -> float:
-        if len(self) > 50_000:
-            self.clear()
-        s = self[word] = float(self._scores[word_ngrams(word)].mean())
-        return s
-
-
-def bag_features(text: str | None, words: _WordScores, bias: float) -> tuple[float, float]:
-    """Logit of the likeliest bag and logarithm of the number of bags."""
-    found = _WORD.findall(text.lower()) if text else []
-    if not found:
-        return bias, 0.0
-    s = np.fromiter(map(words.__getitem__, found), np.float64, len(found))
-    cuts = np.arange(0, len(s), BAG_WORDS)
-    means = np.add.reduceat(s, cuts) / np.diff(np.r_[cuts, len(s)])
-    return float(means.max() + bias), float(np.log(len(cuts)))
-
-
-def text_score(text: str | None, words: _WordScores, model: dict) -> float:
-    logit, size = bag_features(text, words, model["bias"])
+def bag_features(texts: list[str | None], scores: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text, the logit of its likeliest bag, the logarithm of its
+    number of bags, and whether it has a word; all texts at once."""
+    low = [(t or "").lower() for t in texts]
+    points = _code_points("\n".join(low))
+    ends = np.cumsum([len(t) + 1 for t in low])
+    start, size = _words(points)
+    s = word_scores(points, start, size, scores)
+    n_words = np.bincount(np.searchsorted(ends, start, "right"), minlength=len(low))
+    some = np.flatnonzero(n_words)
+    logit, bags = np.full(len(low), float(bias)), np.zeros(len(low))
+    if len(some):
+        first = np.cumsum(n_words) - n_words  # word of each text
+        n_bags = -(-n_words // BAG_WORDS)
+        begin = np.cumsum(n_bags) - n_bags
+        text = np.repeat(np.arange(len(low)), n_bags)
+        cuts = first[text] + BAG_WORDS * (np.arange(int(n_bags.sum())) - begin[text])
+        means = np.add.reduceat(s, cuts) / np.diff(np.append(cuts, len(s)))
+        logit[some] = np.maximum.reduceat(means, begin[some]) + bias
+        bags[some] = np.log(n_bags[some])
+    return logit, bags, n_words > 0
+
+
+def text_scores(texts: list[str | None], model: dict) -> np.ndarray:
+    """Probabilities of whole texts."""
+    logit, size, some = bag_features(texts, model["scores"], model["bias"])
     a, b, c = model["curve"]
     p = 1 / (1 + np.exp(-np.clip(a * logit + b * size + c, -500, 500)))
-    return float(p if text and _WORD.search(text) else min(p, 0.49))
+    return np.where(some, p, np.minimum(p, 0.49))
+
+
+def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Neighbouring texts of up to ``POINTS`` characters, longer ones alone."""
+    part, n = [], 0
+    for t in texts:
+        if part and n + len(t or "") > POINTS:
+            yield part
+            part, n = [], 0
+        part.append(t)
+        n += len(t or "")
+    if part:
+        yield part
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """Model from labelled rows that aren't held out: of each class at most
-    ``SAMPLE_PER_CLASS`` texts of at most ``SAMPLE_CHARS`` characters, chosen
-    by the hash of the id. Only texts and labels enter the model."""
+    ``SAMPLE_PER_CLASS`` texts, chosen by the hash of the id, those of at most
+    ``SAMPLE_CHARS`` characters first; of a longer one, so many characters are
+    learnt from. Only texts and labels enter the model. An id with several
+    labels is learnt with each; a null id isn't learnt from."""
     known = labels.select(F.col("doc_id"), F.col("toxic").alias("_y")).where(F.col("_y").isin(0, 1) & ~held_out(F.col("doc_id")))
     share = known.agg(F.avg("_y").alias("s")).first()["s"]
-    ok = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= SAMPLE_CHARS))
-    ids = known.join(ok.select("doc_id"), "doc_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ok = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"), (F.length("text") > SAMPLE_CHARS).alias("_long")).where(F.length("text") > 0)
+    ids = known.join(ok.groupBy("doc_id").agg(F.min("_long").alias("_long")), "doc_id").distinct()
+    rank = F.row_number().over(Window.partitionBy("_y").orderBy("_long", F.xxhash64("doc_id"), "doc_id"))
     ids = ids.withColumn("_r", rank).where(F.col("_r") <= SAMPLE_PER_CLASS).select("doc_id", "_y")
     # at most twice SAMPLE_PER_CLASS ids
     rows = ok.join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").limit(4 * SAMPLE_PER_CLASS).collect()
@@ -215,10 +289,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        given = shared.value
-        words = _WordScores(given["scores"])
         for texts in batches:
-            yield pd.Series([text_score(t, words, given) for t in texts], dtype=np.float64)
+            yield pd.Series(np.concatenate([text_scores(p, shared.value) for p in _parts(texts.tolist())] or [np.zeros(0)]))
 
     scored = docs.select("doc_id", F.pandas_udf(run, "double")("text").alias("score"))
     return scored.select(
