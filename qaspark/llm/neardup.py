@@ -10,8 +10,11 @@ Jaccard similarity, whatever the size of the sets.
 
 Bands of ``ROWS`` registers are hashed to keys. In a group of documents with
 one key, the smallest is compared with each of the others (a star, not all
-pairs); a second step takes only those members of a group that lie in
-different components after the first, each pair at the first band it shares.
+pairs): first in the groups of ``FIRST_BANDS`` bands, which link most near
+copies, then in those of all bands with the members that don't lie in the
+smallest one's component yet. A last step takes only those members of a group
+that lie in different components after that, each pair at the first band it
+shares.
 In crowded groups it also leaves out pairs that can't be links, by an exact
 bound: shingles that no other document of those groups has are in no common
 part. A pair is first held against the collision-corrected Jaccard estimate
@@ -55,6 +58,9 @@ MARGIN = 7.0
 # pick their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
+# Bands whose groups are compared before those of all bands.
+FIRST_BANDS = 8
+
 # Groups of more rows than this have the bound by unique shingles applied.
 CROWDED = 24
 
@@ -254,6 +260,18 @@ def _links(near: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return materialise(full.mapInPandas(functools.partial(_confirmed, percent=percent), "a long, b long").distinct(), "links")
 
 
+def _labelled(grouped: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of groups with their component ``c``."""
+    return grouped.join(found, grouped.doc_id == found.node, "left").select(
+        "key", "band", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
+    )
+
+
+def _mixed_keys(labelled: DataFrame) -> DataFrame:
+    """Keys whose group holds several components."""
+    return labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD_PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id,
     kept``. Documents of a similarity of at least ``percent`` are linked.
@@ -274,14 +292,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = sets.select("doc_id", F.posexplode(keys).alias("band", "key"))
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id", "n"), "groups")
-    stars = grouped.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    stars = grouped.where((F.col("a") != F.col("doc_id")) & (F.col("band") < FIRST_BANDS)).select("a", F.col("doc_id").alias("b")).distinct()
     links = _links(_with_registers(stars, sets, percent), docs, percent)
-    first = components(links)
-
-    labelled = grouped.join(first, grouped.doc_id == first.node, "left").select(
-        "key", "band", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
-    )
-    mixed = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    known = _labelled(grouped, components(links))
+    apart = known.join(_mixed_keys(known), "key")
+    centre = apart.where("doc_id = a").select("key", F.col("c").alias("centre_c")).distinct()
+    stars = apart.join(centre, "key").where("c <> centre_c").select("a", F.col("doc_id").alias("b")).distinct()
+    links = links.unionByName(_links(_with_registers(stars, sets, percent), docs, percent))
+
+    labelled = _labelled(grouped, components(links))
+    mixed = _mixed_keys(labelled)
     left = materialise(labelled.join(mixed, "key"), "mixed")
     crowd = materialise(left.where(F.col("n") > CROWDED).select("doc_id").distinct(), "crowd")
     own = materialise(_own_shingles(docs, crowd), "own")
