@@ -293,12 +293,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id", "n"), "groups")
     stars = grouped.where((F.col("a") != F.col("doc_id")) & (F.col("band") < FIRST_BANDS)).select("a", F.col("doc_id").alias("b")).distinct()
+    stars = materialise(stars, "stars")
     links = _links(_with_registers(stars, sets, percent), docs, percent)
     known = _labelled(grouped, components(links))
     apart = known.join(_mixed_keys(known), "key")
     centre = apart.where("doc_id = a").select("key", F.col("c").alias("centre_c")).distinct()
-    stars = apart.join(centre, "key").where("c <> centre_c").select("a", F.col("doc_id").alias("b")).distinct()
-    links = links.unionByName(_links(_with_registers(stars, sets, percent), docs, percent))
+    more = apart.join(centre, "key").where("c <> centre_c").select("a", F.col("doc_id").alias("b")).distinct()
+    more = more.join(stars, ["a", "b"], "left_anti")  # no pair is compared twice
+    links = links.unionByName(_links(_with_registers(more, sets, percent), docs, percent))
 
     labelled = _labelled(grouped, components(links))
     mixed = _mixed_keys(labelled)
