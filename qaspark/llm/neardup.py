@@ -11,15 +11,16 @@ Jaccard similarity, whatever the size of the sets.
 Bands of ``ROWS`` registers are hashed to keys. In a group of documents with
 one key, the smallest is compared with each of the others (a star, not all
 pairs): first in the groups of ``FIRST_BANDS`` bands, which link most near
-copies, then in those of all bands with the members that don't lie in the
-smallest one's component yet. A last step takes only those members of a group
-that lie in different components after that, each pair at the first band it
-shares.
-In crowded groups it also leaves out pairs that can't be links, by an exact
-bound: shingles that no other document of those groups has are in no common
-part. A pair is first held against the collision-corrected Jaccard estimate
-of the registers (with a wide margin) and then confirmed on the full sets.
-Copies with an equal set enter as one.
+copies, then in those of all bands the member with the fewest shingles of its
+own with the others that don't lie in its component yet. What is left are the
+documents of groups that lie in different components after that. They
+meet by an exact prefix filter: shingles are ordered by the number of these documents that hold them, and a
+pair that is a link has a shingle in common among the rarest of both, the
+fewer the higher the threshold. A shingle that several components hold joins
+the documents outside its largest component with the others; one that very
+many hold is dealt over several keys. A pair is first held against the
+collision-corrected Jaccard estimate of the registers (with a wide margin) and
+then confirmed on the full sets. Copies with an equal set enter as one.
 
 The least similarity of a link is a parameter; the bands follow from it. A
 pair at 0.85 shares none of 50 bands of 8, and one at 0.80 none of 70 bands
@@ -38,7 +39,7 @@ import functools
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaspark.llm.common import materialise, prepare
@@ -61,8 +62,8 @@ BROADCAST_IDS = 1_000_000
 # Bands whose groups are compared before those of all bands.
 FIRST_BANDS = 8
 
-# Groups of more rows than this have the bound by unique shingles applied.
-CROWDED = 24
+# Holders of one shingle that a key of the last join takes.
+HOLDERS = 4096
 
 _SKETCH_SCHEMA = "doc_id long, n_shingles long, h1 long, h2 long, regs binary"
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD))
@@ -212,12 +213,14 @@ def _confirmed(batches, percent: int):
 
 
 def _shingles(batches):
+    """Shingles of documents; a version is a text of an id."""
     known = _WordHashes()
     for pdf in batches:
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
             s = shingle_hashes(text, known)
+            version = xxhash.xxh64_intdigest(s.tobytes()) >> 1
             for part in np.split(s.view(np.int64), range(10_000, len(s), 10_000)):
-                yield pd.DataFrame({"doc_id": doc_id, "s": part})
+                yield pd.DataFrame({"doc_id": doc_id, "version": version, "n": len(s), "s": part})
 
 
 def _band(regs: str, i: Column, rows: int) -> Column:
@@ -231,12 +234,54 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if small else ids.hint("shuffle_hash"), "doc_id", "left_semi")
 
 
-def _own_shingles(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, own``: how many of a document's shingles no other document
-    of ``ids`` has."""
-    rows = _texts_of(docs, ids).mapInPandas(_shingles, "doc_id long, s long")
-    once = rows.groupBy("s").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
-    return once.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+def _prefixes(docs: DataFrame, ids: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, version, n, s, r``: the rarest shingles of the documents
+    ``ids`` that others of them hold too. ``r`` is the number of a document's
+    shingles from this one to the commonest, so two documents whose first
+    common shingle it is have at most the smaller ``r`` in common. Shingles
+    with too small an ``r`` for any link are left out."""
+    rows = _texts_of(docs, ids).mapInPandas(_shingles, "doc_id long, version long, n long, s long")
+    rows = materialise(rows, "shingles")
+    held = rows.groupBy("s").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    # equal rows of a document get equal ranks
+    order = Window.partitionBy("doc_id", "version").orderBy(F.desc("held"), F.desc("s"))
+    ranked = rows.join(held, "s").select("doc_id", "version", "n", "s", F.dense_rank().over(order).cast("long").alias("r"))
+    return materialise(ranked.where(F.col("r") * 100 >= F.col("n") * percent), "prefixes")
+
+
+def _reaches(common: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether so many common shingles make a link."""
+    return common * (100 + percent) >= (n_a + n_b) * percent
+
+
+def _meeting(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of documents of different components ``c`` that meet at
+    a shingle of their prefixes. The smaller document of a link holds it in
+    the part of its prefix that is long enough for one of its own size."""
+    inner = _reaches(F.col("r"), F.col("n"), F.col("n"), percent)
+    rows = prefixes.select("*", inner.alias("inner"))
+    parts = rows.groupBy("s", "c").agg(F.count(F.lit(1)).alias("held"), F.max("inner").alias("inner"))
+    shared = parts.groupBy("s").agg(
+        F.max_by("c", F.struct("held", "c")).alias("major"),
+        F.count(F.lit(1)).alias("parts"),
+        F.sum("held").alias("held"),
+        F.max("inner").alias("any_inner"),
+    )
+    shared = shared.where("parts > 1 and any_inner").select("s", "major", F.ceil(F.col("held") / HOLDERS).cast("int").alias("deals"))
+    rows = materialise(rows.join(shared, "s"), "holders")
+    dealt = F.pmod(F.xxhash64("doc_id"), F.col("deals")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("deals") - 1))
+
+    def side(x: str, where: str, deal: Column) -> DataFrame:
+        cols = [F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "n", "r", "c")]
+        return rows.where(where).select("s", deal.alias("deal"), *cols)
+
+    possible = (F.col("c_u") != F.col("c_v")) & (F.col("n_u") <= F.col("n_v"))
+    possible &= _reaches(F.least("r_u", "r_v"), F.col("n_u"), F.col("n_v"), percent)
+    minor = side("u", "inner and c <> major", every).join(side("v", "true", dealt), ["s", "deal"]).where(possible)
+    major = side("u", "inner and c = major", dealt).join(side("v", "c <> major", every), ["s", "deal"]).where(possible)
+    pair = [F.least("doc_id_u", "doc_id_v").alias("a"), F.greatest("doc_id_u", "doc_id_v").alias("b")]
+    return minor.select(*pair).unionByName(major.select(*pair)).distinct()
 
 
 def _with_registers(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -260,16 +305,13 @@ def _links(near: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return materialise(full.mapInPandas(functools.partial(_confirmed, percent=percent), "a long, b long").distinct(), "links")
 
 
-def _labelled(grouped: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of groups with their component ``c``."""
-    return grouped.join(found, grouped.doc_id == found.node, "left").select(
-        "key", "band", "a", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
+def _mixed(grouped: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of groups that hold several components ``c``."""
+    labelled = grouped.join(found, grouped.doc_id == found.node, "left").select(
+        "key", "a", "doc_id", F.coalesce("component", "doc_id").alias("c")
     )
-
-
-def _mixed_keys(labelled: DataFrame) -> DataFrame:
-    """Keys whose group holds several components."""
-    return labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    keys = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    return labelled.join(keys, "key")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -282,7 +324,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketched = materialise(docs.mapInPandas(functools.partial(_sketches, buckets=n_bands * n_rows), _SKETCH_SCHEMA), "sketches")
     full = sketched.where("n_shingles > 0 and doc_id is not null")
-    smallest = full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
+    # written before it is joined, so that a hot group of copies can be split
+    smallest = materialise(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "copies")
     member = full.select("doc_id", "h1", "h2").join(smallest, ["h1", "h2"]).select("doc_id", "rep")
     sets = materialise(
         full.join(smallest, ["h1", "h2"]).where("doc_id = rep").select("doc_id", "n_shingles", "regs").distinct(), "sets"
@@ -291,37 +334,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.xxhash64(i, _band("regs", i, n_rows)))
     bands = sets.select("doc_id", F.posexplode(keys).alias("band", "key"))
     centres = bands.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id", "n"), "groups")
+    grouped = materialise(bands.join(centres, "key").select("key", "band", "a", "doc_id"), "groups")
     stars = grouped.where((F.col("a") != F.col("doc_id")) & (F.col("band") < FIRST_BANDS)).select("a", F.col("doc_id").alias("b")).distinct()
     stars = materialise(stars, "stars")
     links = _links(_with_registers(stars, sets, percent), docs, percent)
-    known = _labelled(grouped, components(links))
-    apart = known.join(_mixed_keys(known), "key")
-    centre = apart.where("doc_id = a").select("key", F.col("c").alias("centre_c")).distinct()
-    more = apart.join(centre, "key").where("c <> centre_c").select("a", F.col("doc_id").alias("b")).distinct()
-    more = more.join(stars, ["a", "b"], "left_anti")  # no pair is compared twice
+    mixed = materialise(_mixed(grouped, components(links)), "mixed")
+    prefixes = _prefixes(docs, materialise(mixed.select("doc_id").distinct(), "crowd"), percent)
+    bound = materialise(prefixes.groupBy("doc_id").agg(F.max("r").alias("r"), F.min("n").alias("n")), "bounds")
+    able = mixed.join(bound, "doc_id")
+    # the centre is the member with the fewest shingles of its own
+    typical = F.struct(F.col("r") / F.col("n"), -F.col("doc_id"))
+    centre = able.groupBy("key").agg(F.max_by(F.struct("doc_id", "c", "r", "n"), typical).alias("centre"))
+    more = able.join(centre, "key").where("c <> centre.c")
+    more = more.where(_reaches(F.least("r", "centre.r"), F.col("n"), F.col("centre.n"), percent))
+    more = more.select(F.least("doc_id", "centre.doc_id").alias("a"), F.greatest("doc_id", "centre.doc_id").alias("b")).distinct()
+    more = materialise(more.select("a", "b").join(stars, ["a", "b"], "left_anti"), "stars")  # no pair is compared twice
     links = links.unionByName(_links(_with_registers(more, sets, percent), docs, percent))
 
-    labelled = _labelled(grouped, components(links))
-    mixed = _mixed_keys(labelled)
-    left = materialise(labelled.join(mixed, "key"), "mixed")
-    crowd = materialise(left.where(F.col("n") > CROWDED).select("doc_id").distinct(), "crowd")
-    own = materialise(_own_shingles(docs, crowd), "own")
-    size = sets.join(left.select("doc_id").distinct(), "doc_id", "left_semi").join(own, "doc_id", "left")
-    size = materialise(size, "sizes")
-    rows = left.join(size, "doc_id").withColumn("shared", F.col("n_shingles") - F.when(F.col("n") > CROWDED, F.coalesce("own", F.lit(0))).otherwise(0))
-    # both sides have the same columns and no filter of their own, so that one
-    # shuffle serves both
-    names = (("doc_id", ""), ("a", "centre_"), ("c", "c_"), ("band", "band_"), ("n_shingles", "n_"), ("shared", "shared_"), ("regs", "regs_"))
-    side = lambda x: rows.select("key", *[F.col(c).alias(n + x) for c, n in names])
-    most = F.least("shared_a", "shared_b")
-    possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("a") != F.least("centre_a", "centre_b"))
-    possible &= most * 100 >= (F.col("n_a") + F.col("n_b") - most) * percent
-    before = F.slice(F.sequence(F.lit(0), F.lit(n_bands - 1)), 1, F.least("band_a", "band_b"))
-    earlier = F.exists(before, lambda i: _band("regs_a", i, n_rows) == _band("regs_b", i, n_rows))
-    rest = side("a").join(side("b"), "key").where(possible & ~earlier)
-    more = _links(rest.select("a", "b", "n_a", "n_b", "regs_a", "regs_b"), docs, percent)
-    whole = components(links.unionByName(more))
+    left = materialise(_mixed(mixed.drop("c"), components(links)).select("doc_id", "c").distinct(), "left")
+    rest = _meeting(prefixes.join(left, "doc_id"), percent).join(stars.unionByName(more), ["a", "b"], "left_anti")
+    rest = materialise(rest, "rest")
+    whole = components(links.unionByName(_links(_with_registers(rest, sets, percent), docs, percent)))
 
     cls = member.join(whole, member.rep == whole.node, "left").select(
         "doc_id", F.coalesce("component", "rep").alias("component_id")
