@@ -13,14 +13,15 @@ one key, the smallest is compared with each of the others (a star, not all
 pairs): first in the groups of ``FIRST_BANDS`` bands, which link most near
 copies, then in those of all bands the member with the fewest shingles of its
 own with the others that don't lie in its component yet. What is left are the
-documents of groups that lie in different components after that. They
-meet by an exact prefix filter: shingles are ordered by the number of these documents that hold them, and a
-pair that is a link has a shingle in common among the rarest of both, the
-fewer the higher the threshold. A shingle that several components hold joins
-the documents outside its largest component with the others; one that very
-many hold is dealt over several keys. A pair is first held against the
-collision-corrected Jaccard estimate of the registers (with a wide margin) and
-then confirmed on the full sets. Copies with an equal set enter as one.
+documents of groups that lie in different components after that. They meet by
+an exact prefix filter: shingles are ordered by the number of these documents
+that hold them, and a pair that is a link has a shingle in common among the
+rarest of both, the fewer the higher the threshold. A shingle that several
+components hold joins the documents outside its largest component with the
+others; one that very many hold is dealt over several keys. A pair is first
+held against the collision-corrected Jaccard estimate of the registers (with a
+wide margin) and then confirmed on the full sets. Copies with an equal set
+enter as one.
 
 The least similarity of a link is a parameter; the bands follow from it. A
 pair at 0.85 shares none of 50 bands of 8, and one at 0.80 none of 70 bands
