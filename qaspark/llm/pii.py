@@ -14,6 +14,11 @@ separators; if that's no date, the other way round (25/12/1990, 12-25-1990).
 One day has one pseudonym in all styles of the first reading; dates of the
 other reading are a format of their own and aren't linked with them.
 
+A text of any length is read in time linear in it: mail addresses are sought
+from their sign, and a value of more than ``WIDE`` variable characters is
+permuted in blocks of that width, each keyed by the block before it, forwards
+and then backwards, so that every character counts for all of them.
+
 Defined cases: null and empty texts stay as they are; a text without a find
 is returned unchanged; columns other than the text are not touched.
 """
@@ -35,8 +40,14 @@ from pyspark.sql import functions as F
 from qaspark.llm.common import prepare
 
 
+# The setting that names the key, and the key where it is unset (as in tests).
+KEY_SETTING = "spark.qaspark.pseudonym.secret"
 DEFAULT_KEY = "qaspark-pseudonym-key"
 ROUNDS = 8
+# Characters permuted as one number.
+WIDE = 256
+# Longer values aren't kept with their pseudonyms.
+KEPT_CHARS = 256
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _HEX_LOWER, _HEX_UPPER = _DIGITS + "abcdef", _DIGITS + "ABCDEF"
 
@@ -82,29 +93,47 @@ def _alphabet(c: str) -> str | None:
     return next((a for a in (_DIGITS, _LOWER, _UPPER) if c in a), None)
 
 
-def _characters(text: str, key: bytes, kind: str, valid: Callable[[str], bool] = lambda _: True, fixed: int = 0, hexadecimal: bool = False) -> str:
+def _characters(text: str, key: bytes, kind: str, valid: Callable[[str], bool] | None = None, fixed: int = 0, hexadecimal: bool = False) -> str:
     """Permute the letters and digits of ``text`` after the first ``fixed``
-    characters within their classes; ``valid`` judges whole results."""
+    characters within their classes; ``valid`` judges whole results, of at
+    most ``WIDE`` such characters."""
     if hexadecimal:
         upper = any(c in "ABCDEF" for c in text)
         slots = [(i, _HEX_UPPER if upper else _HEX_LOWER) for i in range(fixed, len(text))]
     else:
         slots = [(i, a) for i, c in enumerate(text) if i >= fixed and (a := _alphabet(c))]
+    shape = f"{kind}:" + "".join(a[-1] if (a := _alphabet(c)) else c for c in text[fixed:])
+    salted = hashlib.blake2b(shape.encode("utf-8", "surrogatepass"), key=key, digest_size=32).digest()
+    out = list(text)
+    if len(slots) <= WIDE:
+        _permute_slots(out, slots, salted, valid)
+        return "".join(out)
+    blocks = [slots[i : i + WIDE] for i in range(0, len(slots), WIDE)]
+    for turn, order in ((b"f", blocks), (b"b", blocks[::-1])):
+        before = b""
+        for block in order:
+            _permute_slots(out, block, hashlib.blake2b(turn + before, key=salted, digest_size=32).digest())
+            before = "".join(out[i] for i, _ in block).encode()
+    return "".join(out)
+
+
+def _permute_slots(out: list[str], slots: list[tuple[int, str]], key: bytes, valid: Callable[[str], bool] | None = None) -> None:
+    """Permute the characters of ``out`` at ``slots``, in place, as one number."""
     size = math.prod(len(a) for _, a in slots)
     number = 0
     for i, a in slots:
-        number = number * len(a) + a.index(text[i])
+        number = number * len(a) + a.index(out[i])
 
-    def render(n: int) -> str:
-        out = list(text)
+    def put(n: int) -> None:
         for i, a in reversed(slots):
             n, r = divmod(n, len(a))
             out[i] = a[r]
-        return "".join(out)
 
-    shape = f"{kind}:" + "".join(a[-1] if (a := _alphabet(c)) else c for c in text[fixed:])
-    salted = hashlib.blake2b(shape.encode("utf-8", "surrogatepass"), key=key, digest_size=32).digest()
-    return render(permute(number, size, salted, lambda n: valid(render(n))))
+    def holds(n: int) -> bool:
+        put(n)
+        return valid("".join(out))
+
+    put(permute(number, size, key, holds) if valid else permute(number, size, key))
 
 
 def _digits(text: str) -> str:
@@ -246,9 +275,61 @@ KINDS = {
 }
 
 
+_MAIL = list(KINDS).index("email")
+_MAIL_CHARS = _LOWER + _UPPER + _DIGITS + "._%+-"
+_MAIL_REST = re.compile(KINDS["email"][0][KINDS["email"][0].index("@") :], re.ASCII)
+_MAIL_START = re.compile("[A-Za-z0-9]")
+
+
 @functools.lru_cache(maxsize=1)
 def _pattern() -> re.Pattern:
-    return re.compile("|".join(f"(?P<k_{k}>{p})" for k, (p, _) in KINDS.items()), re.ASCII)
+    """Every kind but mail addresses, whose name could start at each
+    character of a long run."""
+    return re.compile("|".join(f"(?P<k_{k}>{p})" for k, (p, _) in KINDS.items() if k != "email"), re.ASCII)
+
+
+class _Finds:
+    """The finds of a text from left to right, of equal starts the earlier
+    kind. What is found ahead is kept, so that no part is searched twice."""
+
+    def __init__(self, text: str):
+        self._text = text
+        self._other = _pattern().search(text)
+        # the sign of the next address, and the first character it may start at
+        self._sign, self._low = -1, 0
+        self._to_next_sign()
+
+    def _to_next_sign(self) -> None:
+        """To the next sign that a domain follows (-1: none)."""
+        while True:
+            last = self._sign
+            self._sign = self._text.find("@", last + 1)
+            if self._sign < 0:
+                return
+            if _MAIL_REST.match(self._text, self._sign):
+                before = self._text[last + 1 : self._sign]
+                self._low = last + 1 + len(before.rstrip(_MAIL_CHARS))
+                return
+
+    def _mail(self, at: int) -> int:
+        """Start of the next address from ``at`` on, or -1."""
+        while self._sign >= 0:
+            first = _MAIL_START.search(self._text, max(at, self._low), self._sign)
+            if first:
+                self._low = first.start()
+                return self._low
+            self._to_next_sign()
+        return -1
+
+    def next(self, at: int) -> tuple[str, re.Match] | None:
+        """Kind and match of the first find that starts at ``at`` or later."""
+        if self._other and self._other.start() < at:
+            self._other = _pattern().search(self._text, at)
+        other, mail = self._other, self._mail(at)
+        kind = next(k for k in KINDS if k != "email" and other.group(f"k_{k}") is not None) if other else None
+        if mail >= 0 and (not other or mail < other.start() or (mail == other.start() and list(KINDS).index(kind) > _MAIL)):
+            return "email", _kind_pattern("email").match(self._text, mail)
+        return (kind, other) if other else None
 
 
 @functools.cache
@@ -256,9 +337,9 @@ def _kind_pattern(kind: str) -> re.Pattern:
     return re.compile(KINDS[kind][0], re.ASCII)
 
 
-# Every kind holds a digit, a mail sign or an assignment; texts without any
-# of them are passed on without a search.
-_MAY = re.compile(r"[0-9@]|(?i:token|secret|passw|key)|sk-|gh[pousr]_")
+# Every kind holds a digit, a mail sign, an assignment, a prefix or a run of
+# figures from a to f; texts without any are passed on without a search.
+_MAY = re.compile(r"[0-9@]|(?i:token|secret|passw|key)|sk-|gh[pousr]_|AKIA|[a-f]{32}|[A-F]{32}")
 
 
 class Pseudonyms:
@@ -273,9 +354,9 @@ class Pseudonyms:
             return text, {}
         counts: dict[str, int] = {}
 
-        out, done, at = [], 0, 0
-        while m := _pattern().search(text, at):
-            kind, m, new = self._read(text, m)
+        out, done, at, finds = [], 0, 0, _Finds(text)
+        while found := finds.next(at):
+            kind, m, new = self._read(text, *found)
             if new is None:
                 at = m.start() + 1
                 continue
@@ -284,9 +365,8 @@ class Pseudonyms:
             done = at = m.end()
         return "".join([*out, text[done:]]), counts
 
-    def _read(self, text: str, m: re.Match) -> tuple[str, re.Match, str | None]:
+    def _read(self, text: str, first: str, m: re.Match) -> tuple[str, re.Match, str | None]:
         """A find under the first kind that holds for it, or with None."""
-        first = next(k for k in KINDS if m.group(f"k_{k}") is not None)
         new = self._pseudonym(first, m)
         if new is None:
             for kind in list(KINDS)[list(KINDS).index(first) + 1 :]:
@@ -297,6 +377,8 @@ class Pseudonyms:
 
     def _pseudonym(self, kind: str, m: re.Match) -> str | None:
         value = m.group()
+        if len(value) > KEPT_CHARS:
+            return KINDS[kind][1](m, self._key)
         if (kind, value) not in self._known:
             if len(self._known) > 100_000:
                 self._known.clear()
@@ -314,10 +396,12 @@ def _udf(key: str):
     return run
 
 
-def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = DEFAULT_KEY, finds_col: str | None = None) -> DataFrame:
+def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str | None = None, finds_col: str | None = None) -> DataFrame:
     """``docs`` with the text column's personal data replaced; with
-    ``finds_col``, also the number of replaced values by kind."""
+    ``finds_col``, also the number of replaced values by kind. Without a key
+    the session's setting ``KEY_SETTING`` counts."""
     prepare(docs.sparkSession)
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
     run = F.pandas_udf(_udf(key), "text string, finds array<struct<kind:string,n:int>>")
     out = docs.withColumn("_pii", run(F.col(text_col)))
     named = [F.col("_pii.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
