@@ -42,9 +42,13 @@ from qaspark.llm.common import materialise, prepare
 LENGTH = 100
 ANCHOR = 32
 WINDOW = LENGTH - ANCHOR + 1  # anchors in a window of LENGTH bytes
-UNIT = 1 << 20  # bytes that are hashed at once
+# Bytes that are hashed at once. Hashing takes some 45 times that memory, in
+# each of an executor's Python workers.
+UNIT = 1 << 18
 # Different pieces of one anchor that one transform may hold.
 GROUP_PIECES = 8192
+# Pieces from which a transform takes no further group.
+HELD_PIECES = 1024
 # Bits of the bitmaps of repeated anchors: the input's size in bytes over 4,
 # within these powers of two (16 to 128 MB at most for each of the two).
 BITMAP_POWERS = (22, 30)
@@ -159,16 +163,18 @@ def _candidates(batches, maps):
 def equal_prefix_rows(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order of ``symbols`` (uint16, every text closed by a symbol of
     its own) and, for each row, whether it shares less than ``length``
-    symbols with the row before: breadth-first over the transform."""
+    symbols with the row before: breadth-first over the transform. Places
+    are 32 bits wide, wide temporaries go as soon as they are used."""
     n = len(symbols)
     order = _suffix_order(symbols)
     bwt = symbols[order - 1]
-    later = np.argsort(bwt, kind="stable")  # row of the suffix one symbol on
+    later = np.argsort(bwt, kind="stable").astype(np.int32)  # row of the suffix one symbol on
     first = bwt[later]
     parted = np.empty(n, bool)
     parted[0] = True
     parted[1:] = first[1:] != first[:-1]  # common prefixes of length 0
-    open_rows = np.flatnonzero(~parted)
+    del bwt, first
+    open_rows = np.flatnonzero(~parted).astype(np.int32)
     for _ in range(1, length):
         interval = np.cumsum(parted, dtype=np.int32)
         now = interval[later[open_rows]] != interval[later[open_rows - 1]]
@@ -179,29 +185,40 @@ def equal_prefix_rows(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.
     return order, parted
 
 
+def _heads(head: np.ndarray) -> np.ndarray:
+    """For each row, the last row up to it that is a head."""
+    rows = np.arange(len(head), dtype=np.int32)
+    rows[~head] = 0
+    return np.maximum.accumulate(rows, out=rows)
+
+
 def _suffix_order(symbols: np.ndarray) -> np.ndarray:
     """Positions ordered by their first ``_SORTED`` symbols (prefix doubling
     from four packed symbols, only on ranks that several positions share)."""
     n = len(symbols)
-    wide = np.concatenate((symbols.astype(np.int64), np.zeros(3, np.int64)))
-    packed = (wide[:n] << 48) | (wide[1 : n + 1] << 32) | (wide[2 : n + 2] << 16) | wide[3 : n + 3]
-    order = np.argsort(packed.view(_U), kind="stable")
-    ordered = packed[order]
-    head = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-    rank = np.zeros(n + _SORTED, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    packed = np.zeros(n, _U)
+    for k in range(4):
+        packed[: n - k] |= symbols[k:].astype(_U) << _U(48 - 16 * k)
+    order = np.argsort(packed, kind="stable").astype(np.int32)
+    packed = packed[order]
+    head = np.concatenate(([True], packed[1:] != packed[:-1]))
+    del packed
+    rank = np.zeros(n + _SORTED, np.int32)
+    rank[order] = _heads(head)
     step = 4
     while step < _SORTED:
-        shared = np.flatnonzero(~(head & np.append(head[1:], True)))
+        shared = np.flatnonzero(~(head & np.append(head[1:], True))).astype(np.int32)
         if not len(shared):
             break
         at = order[shared]
-        key = rank[at] * (n + 1) + rank[at + step]
+        key = rank[at].astype(np.int64) * (n + 1) + rank[at + np.int32(step)]
         by = np.argsort(key, kind="stable")
         order[shared] = at = at[by]
         key = key[by]
+        del by
         head[shared] = np.concatenate(([True], key[1:] != key[:-1]))
-        rank[at] = np.maximum.accumulate(np.where(head, np.arange(n), 0))[shared]
+        del key
+        rank[at] = _heads(head)[shared]
         step *= 2
     return order
 
@@ -215,11 +232,10 @@ def first_windows(texts: list[bytes], age: np.ndarray) -> list[np.ndarray]:
     symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + np.uint16(len(texts))
     symbols[ends - 1] = np.arange(len(texts))
     order, parted = equal_prefix_rows(symbols, LENGTH)
-    of = np.searchsorted(ends, order, "right")
-    group = np.cumsum(parted) - 1
-    oldest = np.minimum.reduceat(age[of], np.flatnonzero(parted))
+    own = age.astype(np.int32)[np.searchsorted(ends, order, "right").astype(np.int32)]
+    oldest = np.minimum.reduceat(own, np.flatnonzero(parted))
     first = np.empty(len(symbols), bool)
-    first[order] = age[of] == oldest[group]
+    first[order] = own == oldest[np.cumsum(parted, dtype=np.int32) - 1]
     begins = ends - sizes - 1
     return [first[b : b + s - LENGTH + 1] for b, s in zip(begins.tolist(), sizes.tolist(), strict=True)]
 
@@ -231,7 +247,8 @@ def _runs(mask: np.ndarray):
 
 def _transforms(batches):
     """Windows that come first, as runs, from rows ordered by anchor:
-    transforms of whole groups of up to ``GROUP_PIECES`` pieces together."""
+    transforms of whole groups, of ``HELD_PIECES`` pieces together or of one
+    larger group."""
     held: list = []
 
     def done(rows):
@@ -251,7 +268,7 @@ def _transforms(batches):
     for batch in batches:
         cols = [batch.column(c).to_pylist() for c in ("key", "text", "doc_id", "h", "start")]
         for key, text, doc_id, h, start in zip(*cols, strict=True):
-            if len(held) >= GROUP_PIECES and key != held[-1][0]:
+            if len(held) >= HELD_PIECES and key != held[-1][0]:
                 yield done(held)
                 held = []
             held.append((key, text, doc_id is None, doc_id or 0, h, start))

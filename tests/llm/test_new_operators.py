@@ -6,9 +6,11 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from qaspark.llm import importance, repair, repeats
 
@@ -266,3 +268,27 @@ def test_blocks_and_powers(monkeypatch):
         assert out[5] == behind[-1][0]
         results.add(out)
     assert len(results) == 1
+
+
+def test_repeats_hold_little_memory_at_once():
+    """Numpy's memory in a task: hashing a megabyte of text, and transforms of many small groups and of one large one."""
+    rng = np.random.default_rng(12)
+
+    def peak(f):
+        tracemalloc.start()
+        try:
+            f()
+            return tracemalloc.get_traced_memory()[1] / 2**20
+        finally:
+            tracemalloc.stop()
+
+    text = rng.integers(97, 122, 1 << 20, dtype=np.uint8)
+    assert peak(lambda: repeats._pieces_of(text[: repeats.UNIT], np.array([repeats.UNIT]), 0)) < 20
+    for size, limit in ((8, 20), (4096, 45)):
+        rows = []
+        for i in range(4096):
+            if i % size == 0:
+                base = rng.integers(97, 122, 168, dtype=np.uint8).tobytes()
+            rows.append({"key": i // size, "text": base[:60] + b"%08d" % i + base[68:], "doc_id": i, "h": 0, "start": 0})
+        batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=500)
+        assert peak(lambda: [None for _ in repeats._transforms(iter(batches))]) < limit
