@@ -27,13 +27,14 @@ def read_json_array(spark, sf_dir):
     "select doc_id, source, '\"}, {[' || text || '\\\" }]' as question, n_chars as n, '}' as tag_0, lang as tag_1 from documents",
 )
 def read_json_array_ranges(spark, sf_dir):
-    """One JSON array file of all documents, with nested objects and with
-    braces, quotes and backslashes in strings, read by byte ranges."""
+    """JSON array files of all documents, each of several byte ranges and no
+    more than a task can write, with nested objects and with braces, quotes
+    and backslashes in strings, read by byte ranges."""
     path = scratch_path(spark, "json-array")
     docs = load(spark, sf_dir, "documents").select(
         "doc_id", "source", F.concat(F.lit('"}, {['), "text", F.lit('\\" }]')).alias("question"),
         F.struct(F.col("n_chars").alias("n"), F.array(F.lit("}"), "lang").alias("tags")).alias("meta"))
-    IO.write_json_array(docs, path, files=1)
+    IO.write_json_array(docs, path, file_bytes=IO.ARRAY_FILE_BYTES)
     rows = JA.read_json_array_ranges(spark, path, docs.schema)
     return rows.select("doc_id", "source", "question", "meta.n", F.col("meta.tags")[0].alias("tag_0"), F.col("meta.tags")[1].alias("tag_1"))
 

@@ -21,6 +21,10 @@ NUMERIC_KINDS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DEC
 
 # --- S1: JSON array files -------------------------------------------------
 
+# JSON bytes of one array file where a writer may choose: two byte ranges of
+# Spark's default size.
+ARRAY_FILE_BYTES = 256 << 20
+
 def read_json_array(spark: SparkSession, path: str, schema: str | StructType = QA_SCHEMA) -> DataFrame:
     """A file holding one JSON array of row objects (S1). Such a file is one
     document, so each file is read by one task; rewrite once as Parquet."""
@@ -45,13 +49,18 @@ def _arrays_per_partition(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFr
     yield pd.DataFrame({"value": ["]"]})
 
 
-def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_json_array(df: DataFrame, path: str, files: int | None = None, file_bytes: int | None = None) -> None:
     """Write rows as JSON array files, one array per output file (S1's
-    writer). Each task joins only its own partition's rows."""
+    writer). Each task joins only its own partition's rows. A file is written
+    by one task: with ``file_bytes`` their number comes from the rows' JSON
+    bytes (one more pass), so that no task gets more as the table grows."""
     from qaspark.session import ship_package
 
     ship_package(df.sparkSession)
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    if file_bytes:
+        size = rows.agg(F.sum(F.octet_length("j"))).first()[0] or 0
+        files = max(1, -(-size // file_bytes))
     if files:
         rows = rows.repartition(files)
     rows.mapInPandas(_arrays_per_partition, "value string").write.mode("overwrite").text(path)
